@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, linechunks, neardup, packing, quality, toxicity
+from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, packing, quality, toxicity, urltree
 from weftline.llm.common import held_out, table
 
 
+def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest neighbours of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and what they decode to, as digests."""
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
@@ -31,6 +37,32 @@ def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(table(spark, sf_dir, "documents"))
 
 
+def op6_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    evidence = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return urltree.judge(table(spark, sf_dir, "pages"), evidence)
+
+
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    done = kdshards.shard(table(spark, sf_dir, "documents"), 40)
+    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as FLAC and read back, as digests."""
+    done = flac.decode(flac.encode(table(spark, sf_dir, "documents")))
+    return done.select(
+        "doc_id", "n_bytes",
+        F.octet_length("pcm").cast("long").alias("payload_bytes"),
+        F.sha2("pcm", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(pcm, -16)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without the chunks of lines that stand elsewhere."""
     done = linechunks.dedup(table(spark, sf_dir, "documents"))
@@ -45,5 +77,8 @@ def op10_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"), "preference")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_best_fit_packing, op4_toxicity, op5_hyperminhash, op9_line_chunks, op10_bradley_terry)}
+QUERIES = {f.__name__: f for f in (
+    op1_adaptive_scan, op2_byte_bpe, op3_best_fit_packing, op4_toxicity, op5_hyperminhash, op6_path_templates,
+    op7_kd_shards, op8_flac, op9_line_chunks, op10_bradley_terry,
+)}
 ORACLES: dict[str, str] = {}
