@@ -6,9 +6,9 @@ borrows from a bucket drawn by a fixed table. Bands of five registers propose ca
 whose Jaccard estimate, corrected for chance collisions of registers, can't reach the threshold go, and
 the rest are confirmed on the full sets of shingles.
 
-Documents with equal sets are one node. Inside a bucket nobody forms all pairs: members are held against
-one hub, the nodes so linked become one component, and only members of different components meet again,
-with other hubs, until every pair of a bucket is either in one component or was looked at.
+Documents with equal sets are one node. Nobody lists all pairs of a bucket: its members are held against
+one hub, which makes most of them one component, and only members that are still in different components
+are compared on their sets, in cells of bounded size that return spanning links.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,8 +34,8 @@ BANDS = REGISTERS // BAND
 MANTISSA = 10
 #: A candidate whose corrected estimate is this far below the threshold goes: six deviations and more.
 SLACK = 0.2
-#: Rounds in which buckets are held against one hub, before pairs across components are listed.
-STAR_ROUNDS = 4
+#: Bytes of text on either side of a cell in which guests of a group are compared.
+CELL = 4_000_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -186,13 +187,6 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         roots = new.select("node", F.col("new").alias("root"))
 
 
-def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """`members` (key, node) with the root of each node, its own without links."""
-    if roots is None:
-        return members.withColumn("root", F.col("node"))
-    return members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-
-
 def find(docs: DataFrame, percent: int = 80, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -205,79 +199,115 @@ def find(docs: DataFrame, percent: int = 80, width: int = 2, id_col: str = "doc_
     signed = durable(source.mapInArrow(lambda b: _sign(b, width), "doc_id long, node binary, n long, sig binary"), "signatures")
     # the sets are equal where the fingerprint is: one node, whatever the number of copies
     nodes = durable(signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
-    # (k-1)/k below the threshold: a set of fewer than that can only equal another
-    least = next(k for k in range(1, 101) if 100 * (k - 1) >= percent * k or k == 100) - 1 if percent < 100 else 100
-    size = 2 * BAND
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring(F.col("sig"), i * size + 1, F.lit(size)), i))
-    banded = nodes.where(F.col("n") >= least).select("node", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
-    members = durable(banded.join(shared, "key").select("key", "node"), "buckets")
-
-    tested: DataFrame | None = None
-    links: DataFrame | None = None
-    roots: DataFrame | None = None
-    texts: DataFrame | None = None
-    for round_ in range(STAR_ROUNDS + 1):
-        rooted = _rooted(members, roots)
-        split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "root")).alias("hub")).where("low <> high")
-        if round_ < STAR_ROUNDS:
-            met = rooted.join(split.select("key", "hub"), "key").where(F.col("root") != F.col("hub.root")).select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
-        else:
-            open_ = durable(rooted.join(split.select("key"), "key"), "open")
-            other = open_.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"))
-            met = open_.withColumnRenamed("node", "x").join(other, "key").where((F.col("x") < F.col("y")) & (F.col("root") != F.col("root_y"))).select("x", "y")
-        pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = durable(pairs, "pairs")
-        if pairs.isEmpty():
-            if round_ < STAR_ROUNDS and split.isEmpty():
-                break
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        sigs = nodes.select("node", "n", "sig")
-        a = sigs.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-        b = sigs.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-        sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        likely = durable(pairs.join(b, "b").join(a, "a").where(sized).mapInArrow(lambda x: _likely(x, percent / 100), "a binary, b binary"), "likely")
-        if likely.isEmpty():
-            continue
-        texts = _texts(signed, source, likely, texts, width)
-        ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        found = durable(likely.join(tb, "b").join(ta, "a").mapInArrow(lambda x: _confirm(x, percent, width), "a binary, b binary"), "links")
-        links = found if links is None else links.union(found)
-        roots = components(links)
-
+    links = _links(source, nodes, percent, width)
     named = signed.select("doc_id", "node", "n")
-    if roots is None:
+    if links is None:
         own = nodes.select("node", F.col("first_id").alias("component_id"))
     else:
-        at = nodes.select("node", "first_id").join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
-        own = at.join(at.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "component_id")
+        at = nodes.select("node", "first_id").join(components(links), "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+        own = durable(at.join(at.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "component_id"), "own")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return named.join(own, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _texts(signed: DataFrame, source: DataFrame, pairs: DataFrame, known: DataFrame | None, width: int) -> DataFrame:
-    """(node, text), one text for each node of `pairs`; what `known` has is not fetched again.
-
-    A node's text is that of its first row by (id, hash of the text): any text of the node has its set.
+def _links(source: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame | None:
+    """(a, b): confirmed links whose components are those of all links; None without any bucket."""
+    # two different sets of sizes k-1 and k share (k-1)/k at most: smaller sets can only equal another
+    least = next((k - 1 for k in range(2, 101) if 100 * (k - 1) >= percent * k), 100)
+    size = 2 * BAND
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring(F.col("sig"), i * size + 1, F.lit(size)), i))
+    banded = nodes.where(F.col("n") >= least).select("node", F.explode(keys).alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    members = durable(banded.join(shared, "key").select("key", "node", "times"), "buckets")
+    # the hub of a bucket is its member that meets most others in all its buckets: the original of a group
+    # of edited copies is nearer to each of them than they are to one another
+    met = durable(members.groupBy("node").agg(F.sum("times").alias("met")), "met")
+    hubs = members.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("hub"))
+    members, hubs = members.select("key", "node"), durable(hubs, "hubs")
+    pairs = members.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    sigs = nodes.select("node", "n", "sig")
+    a = sigs.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
+    b = sigs.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    likely = durable(pairs.join(b, "b").join(a, "a").where(sized).mapInArrow(lambda x: _likely(x, percent / 100), "a binary, b binary"), "likely")
+    if met.isEmpty():
+        return None
+    texts = _texts(source, nodes, met.select("node"), width)
+    ta, tb = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    links = durable(likely.join(tb, "b").join(ta, "a").mapInArrow(lambda x: _confirm(x, percent, width), "a binary, b binary"), "links")
+    roots = components(links)
+    return links.union(_across(members, hubs, roots, texts, percent, width))
+
+
+def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between members of one bucket that the hubs left in different components.
+
+    The component of a bucket's hub is a group; the bucket's members outside of it are its guests. Every
+    pair of a bucket that isn't in one component is a guest and a resident, or two guests, of one group.
+    Guests are held against residents and guests in cells of bounded size, on full sets; a cell returns
+    one link for each guest and component, however many there are.
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    if known is not None:
-        wanted = durable(wanted.join(known.select("node"), "node", "left_anti"), "wanted")
-        if wanted.isEmpty():
-            return known
-    # nodes are found by the id of their first row, so that texts need no second pass of hashing
-    rows = signed.where("n > 0").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    fetched = (
-        rows.join(source, rows["doc_id"].eqNullSafe(source["doc_id"])).select(rows["node"], "text")
+    root_of = lambda df, c, name: df.join(roots.select(F.col("node").alias(c), F.col("root").alias(name)), c, "left").withColumn(name, F.coalesce(name, c))
+    at = root_of(members, "node", "root").join(durable(root_of(hubs, "hub", "grp"), "groups").select("key", "grp"), "key")
+    guests = durable(at.where("root <> grp").select("grp", "node", "root").distinct(), "guests")
+    of_group = guests.select("grp").distinct()
+    linked = root_of(texts.select("node"), "node", "grp").join(of_group, "grp", "left_semi")
+    everyone = linked.select("grp", "node", F.col("grp").alias("root"), F.lit(False).alias("guest")).unionByName(guests.withColumn("guest", F.lit(True)))
+    # a cell holds about CELL bytes of text on either side, so a group of any size is many cells
+    everyone = durable(everyone.join(texts, "node").withColumn("bytes", F.octet_length("text")), "held")
+    sizes = everyone.groupBy("grp").agg(
+        F.ceil(F.sum("bytes") / CELL).cast("int").alias("wide"), F.ceil(F.sum(F.when(F.col("guest"), F.col("bytes"))) / CELL).cast("int").alias("high")
+    )
+    dealt = everyone.join(durable(sizes, "sizes"), "grp")
+    spread = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    right = dealt.select("grp", spread("wide", 1).alias("col"), F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("row"), "node", "root", "text")
+    left = dealt.where("guest").select("grp", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("col"), spread("high", 2).alias("row"), "node", "root", "text")
+
+    def meet(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+        found = _first_links(ask, have, percent, width)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    key = ["grp", "col", "row"]
+    left = left.select(*(F.col(c).alias(c) for c in left.columns))  # columns of its own, not those of `right`
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, "a binary, b binary")
+
+
+def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int) -> list[tuple[bytes, bytes]]:
+    """For each of `ask` one link to every component of `have` other than its own."""
+    if not len(ask) or not len(have):
+        return []
+    known = _WordHashes()
+    sets = [shingle_hashes(t, known, width) for t in have["text"]]
+    sizes = np.array([len(s) for s in sets])
+    ids, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    nodes, roots = list(have["node"]), list(have["root"])
+    out = []
+    for node, root, text in zip(ask["node"], ask["root"], ask["text"]):
+        own = shingle_hashes(text, known, width)
+        at = np.searchsorted(ids, own)
+        at = at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == own)]
+        present = np.zeros(len(ids), dtype=np.int64)
+        present[at] = 1
+        both = np.add.reduceat(present[flat], begin)
+        seen = {root}
+        for i in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
+            if roots[i] not in seen:
+                seen.add(roots[i])
+                out.append((node, nodes[i]))
+    return out
+
+
+def _texts(source: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, text), one text for each wanted node; any text of a node has its set."""
+    # found by the id of the node's first row, so that texts are hashed again only where an id has several
+    rows = wanted.join(nodes.select("node", F.col("first_id").alias("first")), "node")
+    return durable(
+        source.join(rows, F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
         .mapInArrow(lambda x: _of_node(x, width), "node binary, text string")
-        .groupBy("node").agg(F.min("text").alias("text"))
+        .groupBy("node").agg(F.min("text").alias("text")),
+        "texts",
     )
-    fetched = durable(fetched, "texts")
-    return fetched if known is None else known.unionByName(fetched)
 
 
 def _of_node(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
