@@ -116,7 +116,7 @@ def fit(sample: list[tuple[list[int], list[int] | None, int]], l1: float = 5e-4,
         grad = np.bincount(c, g[r], d) + l2 * w
         if pairs:
             change = np.bincount(gone_r, w[gone_c], len(pairs)) - np.bincount(new_r, w[new_c], len(pairs))
-            change *= 2 * counterfactual / len(pairs)
+            change = change * (2 * counterfactual / len(pairs))
             grad += np.bincount(gone_c, change[gone_r], d) - np.bincount(new_c, change[new_r], d)
         return grad, g.sum()
 
