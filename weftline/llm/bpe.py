@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters handed to the library at once.
-CHUNK_CHARS = 2_000_000
+#: Characters handed to the library at once, and so in a batch that leaves the worker.
+CHUNK_CHARS = 500_000
 
 
 def default_vocabulary() -> str:
@@ -59,17 +60,8 @@ class Vocabulary:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text, in order; the library sees about CHUNK_CHARS characters at a time."""
-        at = 0
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars + len(texts[end]) <= CHUNK_CHARS):
-                chars += len(texts[end])
-                end += 1
-            for got in self.tokenizer.encode_batch_fast(texts[at:end], add_special_tokens=False):
-                yield got.ids
-            at = end
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode_bytes(self, ids) -> bytes:
         """The bytes behind the ids; ids outside the vocabulary stand for nothing."""
@@ -107,6 +99,18 @@ def split_stream(pieces: Iterator[bytes]) -> Iterator[str]:
     yield decoder.decode(b"", final=True)
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about CHUNK_CHARS; a longer text is a slice by itself."""
+    at, held = 0, 0
+    for row, n in enumerate(pc.utf8_length(batch.column(1)).to_pylist()):
+        if held and held + n > CHUNK_CHARS:
+            yield batch.slice(at, row - at)
+            at, held = row, 0
+        held += n
+    if batch.num_rows > at:
+        yield batch.slice(at)
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids), and with `offsets` also byte_start, char_start and char_end of each token.
 
@@ -119,9 +123,9 @@ def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary.load(path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _chunks(whole)):
             texts = batch.column(1).to_pylist()
-            ids = list(words.encode(texts))
+            ids = words.encode(texts)
             columns = [batch.column(0), pa.array(ids, type=pa.list_(pa.int32()))]
             names = ["doc_id", "ids"]
             if offsets:
@@ -152,7 +156,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, keep: list[str] |
                 lists = [x or [] for x in ids.to_pylist()]
             else:
                 flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
-                lists = (flat[a:b].tolist() for a, b in zip(at, at[1:]))
+                lists = (flat[a:b].tolist() for a, b in zip(at, at[1:]))  # one document at a time
             raw = pa.array([words.decode_bytes(x) for x in lists], type=pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in kept] + [raw], names=[*kept, "raw"])
 
