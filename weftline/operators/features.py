@@ -30,17 +30,23 @@ def text_buckets(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return grams.select(key, F.explode(all_).alias("bucket")).groupBy(key, "bucket").agg(F.count("*").alias("n"))
 
 
-def text_vector(text: Column) -> Column:
-    """The 128 bucket counts of a short text, scaled to norm 1 (all zero for blank text)."""
-    t = strip(F.lower(F.coalesce(text, F.lit(""))))
-    c = F.transform(F.filter(F.split(t, ""), lambda x: x != ""), lambda x: F.ascii(x) % BUCKETS)
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """`rows` with `value` computed once a row, however often later expressions use it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def with_text_vector(rows: DataFrame, text: str = "text") -> DataFrame:
+    """`rows` with `text_vector`: the 128 bucket counts scaled to norm 1, all zero for blank text."""
+    t = strip(F.lower(F.coalesce(F.col(text), F.lit(""))))
+    rows = _once(rows, "__c", F.transform(F.filter(F.split(t, ""), lambda x: x != ""), lambda x: F.ascii(x) % BUCKETS))
     none = F.array().cast("array<int>")
-    two = F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: (F.get(c, i - 1) * 31 + F.get(c, i)) % BUCKETS)
-    three = F.transform(F.sequence(F.lit(1), F.size(c) - 2), lambda i: (F.get(c, i - 1) * 961 + F.get(c, i) * 31 + F.get(c, i + 1)) % BUCKETS)
-    grams = F.concat(F.when(F.size(c) >= 2, two).otherwise(none), F.when(F.size(c) >= 3, three).otherwise(none))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.size(F.filter(grams, lambda g: g == b)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, v: s + v * v))
-    return F.transform(counts, lambda v: v / F.when(norm == 0, 1.0).otherwise(norm))
+    two = F.transform(F.sequence(F.lit(1), F.size("__c") - 1), lambda i: (F.get("__c", i - 1) * 31 + F.get("__c", i)) % BUCKETS)
+    three = F.transform(F.sequence(F.lit(1), F.size("__c") - 2), lambda i: (F.get("__c", i - 1) * 961 + F.get("__c", i) * 31 + F.get("__c", i + 1)) % BUCKETS)
+    rows = _once(rows, "__g", F.concat(F.when(F.size("__c") >= 2, two).otherwise(none), F.when(F.size("__c") >= 3, three).otherwise(none)))
+    rows = _once(rows, "__n", F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.size(F.filter("__g", lambda g: g == b)).cast("double")))
+    norm = F.sqrt(F.aggregate("__n", F.lit(0.0), lambda s, v: s + v * v))
+    rows = _once(rows, "__norm", F.when(norm == 0, 1.0).otherwise(norm))
+    return rows.withColumn("text_vector", F.transform("__n", lambda v: v / F.col("__norm"))).drop("__c", "__g", "__n", "__norm")
 
 
 def visual() -> Column:
@@ -63,4 +69,5 @@ def tag_onehot(tag: Column) -> Column:
 
 def vectors(nodes: DataFrame) -> DataFrame:
     """(page_id, node_idx, features): text, geometry and tag side by side."""
-    return nodes.select("page_id", "node_idx", F.concat(text_vector(F.col("text")), visual(), tag_onehot(F.col("tag"))).alias("features"))
+    rows = with_text_vector(nodes.select("page_id", "node_idx", "text", "tag", "x", "y", "w", "h"))
+    return rows.select("page_id", "node_idx", F.concat("text_vector", visual(), tag_onehot(F.col("tag"))).alias("features"))

@@ -6,10 +6,12 @@ many pages propagates features twice in Spark and fits a weighted multinomial re
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,22 +69,32 @@ def score(vectors: DataFrame, edges: DataFrame, weights: Weights | None) -> Data
         third = F.lit(1 / 3)
         return vectors.select("page_id", "node_idx", third.alias("p_price"), third.alias("p_title"), third.alias("p_other"))
     kind = dict(vectors.dtypes)["page_id"]
-
-    def run(v: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        v = v.sort_values("node_idx")
-        at = {int(n): i for i, n in enumerate(v["node_idx"])}
-        src, dst = [at[int(s)] for s in e["src"]], [at[int(d)] for d in e["dst"]]
-        p = weights.probabilities(np.stack([np.asarray(f, float) for f in v["features"]]), np.array(src, int), np.array(dst, int))
-        return pd.DataFrame({"page_id": v["page_id"].to_numpy(), "node_idx": v["node_idx"].to_numpy(), "p_price": p[:, 0], "p_title": p[:, 1], "p_other": p[:, 2]})
-
-    edges = edges.select(*(F.col(c).alias(c) for c in ("page_id", "src", "dst")))  # columns of its own
-    return vectors.groupBy("page_id").cogroup(edges.groupBy("page_id")).applyInPandas(run, f"page_id {kind}, node_idx int, p_price double, p_title double, p_other double")
+    # one row a page, whose size the layout bounds; many pages to an Arrow batch
+    flat = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("node_idx", "features"))), lambda s: s["features"]))
+    ids = F.array_sort(F.collect_list("node_idx"))
+    pages = vectors.groupBy("page_id").agg(ids.alias("ids"), flat.alias("x"))
+    ends = edges.groupBy(F.col("page_id").alias("e_page")).agg(F.collect_list("src").alias("src"), F.collect_list("dst").alias("dst"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = {c: (batch.column(c).flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(c)).to_numpy())])) for c in ("ids", "x", "src", "dst")}
+            cut = lambda c, i: lists[c][0][lists[c][1][i] : lists[c][1][i + 1]]
+            out = []
+            for i in range(batch.num_rows):
+                own = cut("ids", i)
+                out.append(weights.probabilities(cut("x", i).reshape(len(own), -1), np.searchsorted(own, cut("src", i)), np.searchsorted(own, cut("dst", i))))
+            p = np.concatenate(out) if out else np.zeros((0, CLASSES))
+            take = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(lists["ids"][1])), type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("page_id").take(take), pa.array(lists["ids"][0]), *(pa.array(np.ascontiguousarray(p[:, k])) for k in range(CLASSES))], names=["page_id", "node_idx", "p_price", "p_title", "p_other"])
+
+    both = pages.join(ends, F.col("page_id") == F.col("e_page")).select("page_id", "ids", "x", "src", "dst")
+    return both.mapInArrow(run, f"page_id {kind}, node_idx int, p_price double, p_title double, p_other double")
 
 
 def propagated(nodes: DataFrame, edges: DataFrame, steps: int = 2) -> DataFrame:
     """(page_id, node_idx, features) after `steps` of normalised message passing, set-based."""
     weights = graph.normalized(nodes, edges)
-    long = features.vectors(nodes).select("page_id", "node_idx", F.posexplode("features").alias("dim", "value")).where("value <> 0")
+    long = features.vectors(nodes).select("page_id", "node_idx", F.posexplode("features").alias("dim", "value")).where("value <> 0")  # sparse
     for _ in range(steps):
         long = graph.propagate(long, weights)
     back = long.groupBy("page_id", "node_idx").agg(F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("m"))
