@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, packing, quality, toxicity, urltree
+from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, oracles, packing, quality, toxicity, urltree
 from weftline.llm.common import held_out, table
 
 
@@ -81,4 +81,4 @@ QUERIES = {f.__name__: f for f in (
     op1_adaptive_scan, op2_byte_bpe, op3_best_fit_packing, op4_toxicity, op5_hyperminhash, op6_path_templates,
     op7_kd_shards, op8_flac, op9_line_chunks, op10_bradley_terry,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
