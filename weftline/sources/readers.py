@@ -52,7 +52,7 @@ def ungzip(raw: Column) -> Column:
 
     @F.pandas_udf("binary")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: gzip.decompress(b))
+        return s.map(lambda b: gzip.decompress(b) if b is not None and b[:2] == b"\x1f\x8b" else b)
 
     return F.when(F.substring(raw, 1, 2) == F.lit(b"\x1f\x8b"), run(raw)).otherwise(raw)
 
@@ -201,16 +201,19 @@ class _Anchors(HTMLParser):
             self.found.append(dict(attrs)["href"])
 
 
-@F.pandas_udf("array<string>")
-def parsed_hrefs(pages: pd.Series) -> pd.Series:
+def parsed_hrefs(html: Column) -> Column:
     """As `hrefs`, by a real parser: also unquoted attributes and entities."""
 
-    def one(html: str | None) -> list[str]:
-        p = _Anchors()
-        p.feed(html or "")
-        return p.found
+    @F.pandas_udf("array<string>")
+    def run(pages: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[str]:
+            p = _Anchors()
+            p.feed(text or "")
+            return p.found
 
-    return pages.map(one)
+        return pages.map(one)
+
+    return run(html)
 
 
 def fetch(requests: DataFrame, get: Callable[[str], bytes], attempts: int = 5, wait: float = 4.0, delay: float = 0.5) -> DataFrame:
