@@ -415,3 +415,24 @@ def test_evaluation_and_splits(spark):
     with pytest.raises(ValueError):
         evaluate.protocol_split(spark, 80)
     assert evaluate.page_split(spark, 11).where("part = 'test'").count() == 3
+
+
+def test_small_readers_and_options(spark, tmp_path):
+    for name, body in (("a.json", '{"scores": [0.5, 0.9]}'), ("b.json", "[0.5, 0.9]"), ("c.json", "no")):
+        (tmp_path / name).write_text(body)
+        assert [r["sigma"] for r in readers.history_file(spark, str(tmp_path / name)).collect()] == ([0.5, 0.9] if name != "c.json" else [])
+    (tmp_path / "q.json").write_text('{"page_url": "p", "stability_score": 0.1}\nbroken\n')
+    assert readers.queue_file(spark, str(tmp_path / "q.json")).count() == 1
+    repos = spark.createDataFrame([(1, "b", "d"), (0, "a", "d"), (2, "c", "e")], "ordinal int, id string, description string")
+    assert readers.repository_id(repos, "d").first()["id"] == "a" and readers.repository_id(repos, "x").count() == 0
+    records = spark.createDataFrame([(i, f"u{i}", None, i != 1, None, None, None) for i in range(5)], ROW)
+    assert [r["url"] for r in annotate.Options(source="x", mock=True, limit=2).select(records).collect()] == ["u0", "u2"]
+    for bad in ({}, {"source": "x", "store": "y", "mock": True}, {"source": "x"}):
+        with pytest.raises(ValueError):
+            annotate.Options(**bad)
+    nodes = readers.mock_page(spark)
+    labels = spark.createDataFrame([("mock", "101", "title")], "page_id string, id string, label string")
+    assert {r["id"]: r["label"] for r in evaluate.with_labels(nodes, labels).collect()} == {"101": "title", "102": "other", "103": "other", "104": "other", "105": "other"}
+    assert [r["id"] for r in evaluate.visible(nodes, "product").collect()] == ["104"]
+    assert evaluate.progress(nodes).first()["progress"] == 1 / 50
+    assert [r["seq"] for r in drift.tail(spark.createDataFrame([(i, 0.1) for i in range(5)], "seq int, sigma double"), 2).collect()] == [4, 3]

@@ -5,17 +5,45 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import coerce, text, urls
+from weftline.operators import index
 
 #: An annotator takes a url and its template and returns a payload.
 Annotator = Callable[[str, str], dict]
 
 
+@dataclass(frozen=True)
+class Options:
+    """How a run is made: where records come from, which are taken, who annotates them."""
+
+    source: str | None = None  # a file or folder of records
+    store: str | None = None  # or a store
+    limit: int = 0  # 0: all
+    only_confirmed: bool = True
+    force: bool = False
+    mock: bool = False
+    provider: str = "mock"
+    model: str = "mock"
+    key: str | None = None
+
+    def __post_init__(self):
+        if (self.source is None) == (self.store is None):
+            raise ValueError("name either a source or a store")
+        if not self.mock and not self.key:
+            raise ValueError(f"{self.provider} needs a key")
+
+    def select(self, records: DataFrame, done: DataFrame | None = None) -> DataFrame:
+        """The records of this run, in their order of `seq` if there is a limit."""
+        rows = index.pending(records, done, self.only_confirmed, self.force)
+        return rows.orderBy("seq").limit(self.limit) if self.limit else rows
+
+
 def mock_title(url: Column) -> Column:
     """The last path segment in title case, dashes and underscores as spaces."""
     slug = F.element_at(F.split(F.rtrim(urls.path(url), F.lit("/")), "/"), -1)

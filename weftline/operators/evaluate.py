@@ -52,6 +52,23 @@ def label_counts(nodes: DataFrame) -> DataFrame:
     return counted.withColumn("saveable", (F.col("titles") == 1) & (F.col("prices") == 1))
 
 
+def progress(pages: DataFrame, goal: int = 50) -> DataFrame:
+    """(pages, progress): how many pages are labelled, and the share of the goal, 1 at most."""
+    return pages.agg(F.countDistinct("page_id").alias("pages")).withColumn("progress", F.least(F.col("pages") / goal, F.lit(1.0)))
+
+
+def with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes with the label they were given (page_id, id, label), `other` without one."""
+    known = labels.select(F.col("page_id").alias("l_page"), F.col("id").alias("l_id"), "label")
+    return nodes.join(known, (F.col("page_id") == F.col("l_page")) & (F.col("id") == F.col("l_id")), "left").drop("l_page", "l_id").withColumn("label", F.coalesce("label", F.lit("other")))
+
+
+def visible(nodes: DataFrame, search: str = "") -> DataFrame:
+    """Nodes that a labeller is shown: two characters at least, with the search text, cut for display."""
+    text = F.coalesce("text", F.lit(""))
+    return nodes.where((F.char_length(F.trim(text)) >= 2) & F.lower(text).contains(search.lower())).withColumn("shown", F.substring(text, 1, 130))
+
+
 def protocol_split(spark: SparkSession, pages: int, train: int = 40, valid: int = 11, test: int = 30, seed: int = 42) -> DataFrame:
     """(position, part) of the evaluation protocol; needs at least train + valid + test pages."""
     if pages < train + valid + test:

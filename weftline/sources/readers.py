@@ -159,6 +159,24 @@ def artifact_for(artifacts: DataFrame, source_url: str, base: str) -> DataFrame:
     return artifacts.where(F.col("source_url") == source_url).agg(F.max_by(uri, "ordinal").alias("uri")).where("uri IS NOT NULL")
 
 
+def repository_id(repositories: DataFrame, description: str) -> DataFrame:
+    """(id) of the first repository (ordinal, id, description) with that description."""
+    return repositories.where(F.col("description") == description).agg(F.min_by("id", "ordinal").alias("id")).where("id IS NOT NULL")
+
+
+def history_file(spark: SparkSession, path: str) -> DataFrame:
+    """(seq, sigma) of a history file, `{"scores": [...]}` or a bare list; anything else gives none."""
+    text = spark.read.text(path, wholetext=True)
+    scores = F.coalesce(F.from_json("value", "struct<scores:array<double>>")["scores"], F.from_json("value", "array<double>"))
+    return text.select(F.posexplode(scores).alias("seq", "sigma")).where("sigma IS NOT NULL")
+
+
+def queue_file(spark: SparkSession, path: str) -> DataFrame:
+    """Relabelling requests as the queue writes them; lines that aren't JSON are skipped."""
+    schema = "page_url string, stability_score double, reason string, timestamp_utc string"
+    return spark.read.option("mode", "DROPMALFORMED").schema(schema).json(path)
+
+
 def bare_html(html: Column) -> Column:
     """HTML without comments, scripts and styles."""
     return F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
