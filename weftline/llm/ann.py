@@ -27,6 +27,9 @@ SAMPLE = 20_000
 CENTROIDS = 1024
 #: Vectors in a block and queries in a group.
 BLOCK, GROUP = 1024, 512
+#: Vectors of the sample that give a query its first answers, and lists that give it the next ones: both
+#: tighten what the other lists are scanned with.
+ANCHORS, HOME = 1024, 3
 #: Share of the lists that a query probes, nearest first; the measured recall decides it (see README).
 PROBE = 0.85
 #: Columns scanned between two tests, and the test's confidence in deviations of a partial distance.
@@ -60,45 +63,79 @@ def nearest(x: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(d, axis=1, kind="stable")[:, :k]
 
 
-def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.ndarray, k: int, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, anchors: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Each query's best anchors with their scores, and the k-th of these (minus infinity without).
+
+    Anchors are candidates too, so no query's k-th score is lower, and whatever the tests abandon, a query
+    has these answers.
+    """
+    near, scores = [], []
+    floor = np.full(len(q), -np.inf)
+    for i in range(len(q)):
+        s = (anchors * q[i]).sum(axis=1)
+        s[ids == q_ids[i]] = -np.inf
+        best = np.lexsort((ids, -s))[:k]
+        best = best[np.isfinite(s[best])]
+        if len(best) == k:
+            floor[i] = s[best[-1]]
+        near.append(ids[best])
+        scores.append(s[best])
+    return floor, near, scores
+
+
+def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.ndarray, k: int, turn: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, candidate position, inner product) of each query's best k in one block.
 
-    `x` are candidates sorted by id, `norm2` the square of the common norm after the added dimension.
+    `norm2` is the square of the common norm after the added dimension, `floor` a score that a query's
+    k-th answer reaches: what is further away than that isn't returned. Column blocks are taken as matrix products while most pairs are alive, and
+    pair by pair once the tests have left few.
     """
     width = x.shape[1] + 1
     lift = np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))
     xr = np.concatenate([x, lift[:, None]], axis=1) @ turn
     qr = np.concatenate([q, np.zeros((len(q), 1))], axis=1) @ turn
-    blocks = [(a, min(a + COLUMNS, width)) for a in range(0, width, COLUMNS)]
-    columns = [np.ascontiguousarray(xr[:, a:b]) for a, b in blocks]
-    seed = np.unique(np.linspace(0, len(x) - 1, min(len(x), 4 * k)).astype(int))
-    bound = np.full(len(q), np.inf)
-    if len(seed) >= k + 1:  # the query itself may be one of them
-        d = ((qr * qr).sum(axis=1)[:, None] + norm2) - 2 * (qr @ xr[seed].T)
-        bound = np.partition(d, k, axis=1)[:, k] * (1 + 1e-9) + 1e-9
-    rows, cols, scores = [], [], []
-    for i in range(len(q)):
-        alive, part = None, np.zeros(len(x))
-        for (a, b), block in zip(blocks, columns, strict=True):
-            step = (block if alive is None else block[alive]) - qr[i, a:b]
-            part = part + np.einsum("ij,ij->i", step, step)
-            if b < width and np.isfinite(bound[i]):
-                keep = part * (width / b) <= bound[i] * (1 + CONFIDENCE / np.sqrt(b)) ** 2
-                if not keep.all():
-                    alive = np.flatnonzero(keep) if alive is None else alive[keep]
-                    part = part[keep]
-        left = np.arange(len(x)) if alive is None else alive
-        left = left[ids[left] != q_ids[i]]
-        s = (x[left] * q[i]).sum(axis=1)
-        if len(left) > k:
-            floor = np.partition(s, len(s) - k)[len(s) - k]
-            left, s = left[s >= floor], s[s >= floor]
-            best = np.lexsort((ids[left], -s))[:k]
-            left, s = left[best], s[best]
-        rows.append(np.full(len(left), i))
-        cols.append(left)
-        scores.append(s)
-    return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+    edges = [*range(0, width, COLUMNS), width]
+    bound = ((q * q).sum(axis=1) + norm2 - 2 * floor) * (1 + 1e-9) + 1e-9
+    out = []
+    for at in range(0, len(q), 128):
+        some = slice(at, min(at + 128, len(q)))
+        y, limit = qr[some], bound[some]
+        dense, row, col, part = np.zeros((len(y), len(x))), None, None, None
+        for a, b in zip(edges, edges[1:]):
+            reach = limit * (1 + CONFIDENCE / np.sqrt(b)) ** 2 * (b / width) if b < width else limit * (1 + 1e-9)
+            if row is None:
+                dense += (y[:, a:b] ** 2).sum(axis=1)[:, None] + (xr[:, a:b] ** 2).sum(axis=1)[None, :] - 2 * (y[:, a:b] @ xr[:, a:b].T)
+                alive = dense <= reach[:, None]
+                dense[~alive] = np.inf
+                if b == width or alive.mean() < 0.2:
+                    row, col = np.nonzero(alive)
+                    part = dense[row, col]
+            else:
+                step = xr[col, a:b] - y[row, a:b]
+                part = part + np.einsum("ij,ij->i", step, step)
+                keep = part <= reach[row]
+                row, col, part = row[keep], col[keep], part[keep]
+        row = row + at
+        own = ids[col] == q_ids[row]
+        row, col = row[~own], col[~own]
+        if len(row) > k * len(y):  # the best k by distance, with room for ties, before exact scores
+            part = part[~own]
+            order = np.lexsort((part, row))
+            first = np.searchsorted(row[order], np.arange(at, at + len(y)))
+            last = np.minimum(first + k, np.append(first[1:], len(row))) - 1
+            worst = np.full(len(y), -np.inf)
+            has = last >= first
+            worst[has] = part[order][last[has]]
+            keep = part <= worst[row - at] + 1e-9 * norm2
+            row, col = row[keep], col[keep]
+        score = np.empty(len(row))
+        for c in range(0, len(row), 65_536):
+            score[c : c + 65_536] = (x[col[c : c + 65_536]] * q[row[c : c + 65_536]]).sum(axis=1)
+        order = np.lexsort((ids[col], -score, row))
+        row, col, score = row[order], col[order], score[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        out.append((row[rank < k], col[rank < k], score[rank < k]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _array(packed) -> np.ndarray:
@@ -135,6 +172,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probe: float = P
     norm2 = float(lengths["m"]) * (1 + 1e-12)
     lifted = np.concatenate([x, np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
     means = spark.sparkContext.broadcast(centroids(lifted, lists))  # CENTROIDS rows at most
+    one = sample[[len(v) == width for v in sample["vector"]]].drop_duplicates("vec_id").head(ANCHORS)
+    anchors = spark.sparkContext.broadcast((one["vec_id"].to_numpy(), np.stack([np.asarray(v, float) for v in one["vector"]])))  # ANCHORS rows at most
     lists = len(means.value)
     probes = max(1, int(np.ceil(probe * lists)))
 
@@ -144,31 +183,46 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probe: float = P
                 v = np.stack([np.asarray(a, float) for a in f["vector"]])
                 last = np.sqrt(np.maximum(norm2 - (v * v).sum(axis=1), 0)) if lift else np.zeros(len(v))
                 near = nearest(np.concatenate([v, last[:, None]], axis=1), means.value, n)
-                yield pd.DataFrame({"vec_id": f["vec_id"], "data": [a.tobytes() for a in v], "lists": list(near.astype(np.int32))})
+                out = {"vec_id": f["vec_id"], "data": [a.tobytes() for a in v], "lists": list(near.astype(np.int32))}
+                if not lift:
+                    out |= dict(zip(("floor", "near", "scores"), seeds(f["vec_id"].to_numpy(), v, *anchors.value, k), strict=True))
+                yield pd.DataFrame(out)
 
     asked = valid(queries, id_col, vector_col).where(F.size("vector") == width)
     index = table.mapInPandas(lambda f: deal(f, 1, True), "vec_id long, data binary, lists array<int>").select("vec_id", "data", F.col("lists")[0].alias("list"))
     index = durable(index, "index")
-    probing = asked.mapInPandas(lambda f: deal(f, probes, False), "vec_id long, data binary, lists array<int>")
+    probing = asked.mapInPandas(lambda f: deal(f, probes, False), "vec_id long, data binary, lists array<int>, floor double, near array<long>, scores array<double>")
     probing = durable(probing, "probing")
-    # how many blocks and groups each list has: one row for each of at most CENTROIDS lists
-    blocks = index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    groups = probing.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-    cells = F.broadcast(durable(blocks.join(groups, "list"), "cells"))
-    block, group = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("groups")).cast("int")
-    left = index.join(cells, "list").select("list", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "vec_id", "data")
-    right = probing.select("vec_id", "data", F.explode("lists").alias("list")).join(cells, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), group.alias("grp"), "vec_id", "data")
+    seeded = probing.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("s")).select("query_id", F.col("s.near").alias("vec_id"), F.col("s.scores").alias("score"))
+    # how many blocks each list has: one row for each of at most CENTROIDS lists
+    blocks = durable(index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    turn = rotation(width + 1)
 
     def cell(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(have) or not len(ask):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        have = have.sort_values("vec_id", kind="stable")
         ids, q_ids = have["vec_id"].to_numpy(), ask["vec_id"].to_numpy()
-        row, col, score = scan(ids, _array(have["data"]), norm2, q_ids, _array(ask["data"]), k, rotation(width + 1))
+        row, col, score = scan(ids, _array(have["data"]), norm2, q_ids, _array(ask["data"]), k, turn, ask["floor"].to_numpy())
         return pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[col], "score": score})
 
-    key = ["list", "block", "grp"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(cell, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # repeated rows
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each probed block
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def probed(asking: DataFrame, label: str) -> DataFrame:
+        """(query_id, vec_id, score): the best k of every block of the lists that `asking` probes."""
+        groups = asking.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
+        cells = F.broadcast(durable(blocks.join(groups, "list"), f"cells-{label}"))
+        block, group = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("groups")).cast("int")
+        left = index.join(cells, "list").select("list", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "vec_id", "data")
+        right = asking.select("vec_id", "data", "floor", F.explode("lists").alias("list")).join(cells, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), group.alias("grp"), "vec_id", "data", "floor")
+        key = ["list", "block", "grp"]
+        return durable(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(cell, "query_id long, vec_id long, score double"), label)
+
+    best = lambda rows: rows.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # noqa: E731  repeated rows
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each probed block at most
+    top = lambda rows: best(rows).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    home = top(probed(probing.withColumn("lists", F.slice("lists", 1, HOME)), "home").unionByName(seeded)).drop("rank")
+    home = durable(home, "first-answers")
+    floors = home.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).otherwise(float("-inf")).alias("reached"))
+    rest = probing.where(F.size("lists") > HOME).join(floors, F.col("vec_id") == F.col("query_id"), "left").select(
+        "vec_id", "data", F.expr(f"slice(lists, {HOME + 1}, size(lists))").alias("lists"), F.greatest("floor", F.coalesce("reached", F.col("floor"))).alias("floor")
+    )
+    found = home.unionByName(probed(durable(rest.dropDuplicates(["vec_id", "data"]), "rest"), "others"))
+    return top(found).select("query_id", "rank", "vec_id", "score")
