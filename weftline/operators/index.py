@@ -31,12 +31,14 @@ def merge(old: DataFrame, new: DataFrame, present: tuple[str, ...] = ("namespace
 
     One exchange by url: the fold is written as aggregates over the steps, not as a loop over lists.
     """
-    step = Window.partitionBy("url").orderBy("seq")
-    batch = new.withColumn("step", F.row_number().over(step))
+    columns = ["url", "seq", "namespace", F.coalesce("Confirmed", F.lit(False)).alias("Confirmed"), "lastmod", "page_template_type", "last_scraped"]
+    before = old.withColumn("seq", F.lit(None).cast("long")).select(*columns, F.lit(0).alias("fresh"))
+    batch = new.withColumn("seq", F.col("seq").cast("long")).select(*columns, F.lit(1).alias("fresh"))
+    # step 0 is the old row, 1 and up are the batch's; all windows and the aggregate share one exchange
+    inside = Window.partitionBy("url").orderBy("fresh", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    rows = before.unionByName(batch).withColumn("step", F.sum("fresh").over(inside).cast("int"))
     if last_only:
-        batch = batch.withColumn("last", F.max("step").over(Window.partitionBy("url"))).where("step = last").withColumn("step", F.lit(1)).drop("last")
-    columns = ["url", "step", "namespace", F.coalesce("Confirmed", F.lit(False)).alias("Confirmed"), "lastmod", "page_template_type", "last_scraped"]
-    rows = old.withColumn("step", F.lit(0)).select(*columns).unionByName(batch.select(*columns))
+        rows = rows.withColumn("last", F.max("step").over(Window.partitionBy("url"))).where("step = 0 OR step = last").withColumn("step", F.least("step", F.lit(1)))
     # the step from which dates survive: the first confirmed one; a date of the old row lasts one step more
     since = F.min(F.when(F.col("Confirmed"), F.col("step"))).over(Window.partitionBy("url"))
     rows = rows.withColumn("since", since)

@@ -100,11 +100,20 @@ def assign_exact(nodes: DataFrame) -> DataFrame:
     took it, so the two best of each suffice. Ties go to the smaller price node, then title node; a gain
     of zero assigns nothing.
     """
+    return _choose(nodes.groupBy("page_id").agg(*_tops()))
+
+
+def _tops() -> list[Column]:
+    """Aggregates of the two best admissible nodes of either field."""
     open_ = ~F.col("in_footer") & ~F.col("out_of_zone")
-    top = nodes.groupBy("page_id").agg(
+    return [
         _best(F.col("s_price") - F.col("s_other"), open_ & F.col("price_ok"), 2).alias("prices"),
         _best(F.col("s_title") - F.col("s_other"), open_, 2).alias("titles"),
-    )
+    ]
+
+
+def _choose(top: DataFrame, *kept: str) -> DataFrame:
+    """The best pair of each page's `prices` and `titles`, with the columns `kept`."""
     none = F.lit(None).cast("struct<loss:double,idx:int,text:string>")
     last = F.lit(2147483647)
     pairs = F.flatten(F.transform(F.concat("prices", F.array(none)), lambda p: F.transform(F.concat("titles", F.array(none)), lambda t: F.struct(
@@ -114,8 +123,8 @@ def assign_exact(nodes: DataFrame) -> DataFrame:
     ))))
     valid = F.filter(pairs, lambda z: z["p"].isNull() | z["t"].isNull() | (z["p_order"] != z["t_order"]))
     b = F.col("best")
-    return top.select("page_id", F.array_min(valid).alias("best")).select(
-        "page_id", b["t"]["idx"].alias("title_idx"), b["t"]["text"].alias("title"), b["p"]["idx"].alias("price_idx"), b["p"]["text"].alias("price"), (0.0 - b["loss"]).alias("gain")
+    return top.select("page_id", F.array_min(valid).alias("best"), *kept).select(
+        "page_id", b["t"]["idx"].alias("title_idx"), b["t"]["text"].alias("title"), b["p"]["idx"].alias("price_idx"), b["p"]["text"].alias("price"), (0.0 - b["loss"]).alias("gain"), *kept
     )
 
 
@@ -164,10 +173,9 @@ def records(nodes: DataFrame, drift: float = 0.0) -> DataFrame:
 
     Pages without nodes give no record.
     """
-    mixed = blend(nodes, drift)
-    found = assign_exact(scored(mixed))
-    sigma = stability(mixed)
-    return found.join(sigma, "page_id").withColumn("alert", F.col("sigma") < STABLE)
+    rows = scored(blend(nodes, drift))
+    found = rows.groupBy("page_id").agg(*_tops(), F.coalesce(F.avg(_margin()), F.lit(0.0)).alias("sigma"))  # one pass
+    return _choose(found, "sigma").withColumn("alert", F.col("sigma") < STABLE)
 
 
 def proofs(nodes: DataFrame) -> DataFrame:

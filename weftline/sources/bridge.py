@@ -16,17 +16,18 @@ LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_qu
 
 def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, node_idx, text, tag, x, y, w, h, p_price, p_title, p_other): orders as pages, lines as nodes."""
-    lines = table(spark, sf_dir, "lineitem")
+    # named before the window, so that later operators find its partitioning by page
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "page_id")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    idx = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)) - 1
+    idx = F.row_number().over(Window.partitionBy("page_id").orderBy(*LINE_ORDER)) - 1
     kind = F.col("l_linenumber") % 3
     price = F.concat(F.lit("£"), F.floor("l_extendedprice").cast("long").cast("string"), F.lit(".50"))
     text = F.when(kind == 0, price).when(kind == 1, F.coalesce("p_name", F.lit(""))).otherwise(F.concat("l_returnflag", F.lit("/"), "l_linestatus"))
     tag = F.element_at(F.array(*map(F.lit, ("h1", "p", "div", "SPAN", "blink"))), (F.col("l_linenumber") % 5 + 1).cast("int"))
-    wp, wt, wo = 1 + F.col("l_partkey") % 7, 1 + F.col("l_suppkey") % 5, 1 + F.col("l_orderkey") % 6
+    wp, wt, wo = 1 + F.col("l_partkey") % 7, 1 + F.col("l_suppkey") % 5, 1 + F.col("page_id") % 6
     total = wp + wt + wo
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        F.col("l_orderkey").alias("page_id"), idx.cast("int").alias("node_idx"), text.alias("text"), tag.alias("tag"),
+        "page_id", idx.cast("int").alias("node_idx"), text.alias("text"), tag.alias("tag"),
         (F.col("l_partkey") % 1200).cast("double").alias("x"),
         ((F.col("l_suppkey") * 97 + F.col("l_linenumber") * 53) % 1300).cast("double").alias("y"),
         (20 + F.col("l_partkey") % 300).cast("double").alias("w"),
