@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import durable
+from weftline.llm.common import durable, slices
 
 #: Lines that the rolling hash spans.
 WINDOW = 2
@@ -76,7 +76,7 @@ def _halves(data: bytes) -> tuple[int, int]:
 
 
 def _hash_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         take, cols = [], ([], [], [], [])
         for row, text in enumerate(batch.column(2).to_pylist()):
             for a, b, data in removable(text):

@@ -8,7 +8,7 @@ the rest are confirmed on the full sets of shingles.
 
 Documents with equal sets are one node. Nobody lists all pairs of a bucket: its members are held against
 one hub, which makes most of them one component, and only members that are still in different components
-are compared on their sets, in cells of bounded size that return spanning links.
+are compared on their sets, in cells of bounded size, each of which returns spanning links only.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import durable
+from weftline.llm.common import durable, slices
 
 #: Registers of a signature, and registers in a band.
 REGISTERS = 256
@@ -49,7 +49,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -131,7 +131,7 @@ def estimate(sig_a: np.ndarray, sig_b: np.ndarray, n_a, n_b) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     known, donors = _WordHashes(), _donors()
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingle_hashes(t, known, width) for t in batch.column(1).to_pylist()]
         sigs = registers(sets, donors)
         yield pa.RecordBatch.from_arrays(
@@ -141,7 +141,7 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _likely(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 4000):
         if batch.num_rows:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(batch.num_rows, REGISTERS) for c in ("sig_a", "sig_b"))
             keep = estimate(a, b, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) >= threshold - SLACK
@@ -160,7 +160,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int, width: int) -> Ite
             recent.popitem(last=False)
         return found
 
-    for batch in batches:
+    for batch in slices(batches, 500):
         keep = []
         for a, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
             x, y = full(a, text_a), shingles(text_b, width)
@@ -245,7 +245,7 @@ def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFr
     The component of a bucket's hub is a group; the bucket's members outside of it are its guests. Every
     pair of a bucket that isn't in one component is a guest and a resident, or two guests, of one group.
     Guests are held against residents and guests in cells of bounded size, on full sets; a cell returns
-    one link for each guest and component, however many there are.
+    links that join components, so fewer than it has nodes.
     """
     root_of = lambda df, c, name: df.join(roots.select(F.col("node").alias(c), F.col("root").alias(name)), c, "left").withColumn(name, F.coalesce(name, c))
     at = root_of(members, "node", "root").join(durable(root_of(hubs, "hub", "grp"), "groups").select("key", "grp"), "key")
@@ -273,7 +273,7 @@ def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFr
 
 
 def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int) -> list[tuple[bytes, bytes]]:
-    """For each of `ask` one link to every component of `have` other than its own."""
+    """Links between `ask` and `have` that join components not joined yet: fewer than there are nodes."""
     if not len(ask) or not len(have):
         return []
     known = _WordHashes()
@@ -282,6 +282,13 @@ def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int
     ids, flat = np.unique(np.concatenate(sets), return_inverse=True)
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     nodes, roots = list(have["node"]), list(have["root"])
+    up = {r: r for r in [*roots, *ask["root"]]}
+
+    def top(r: bytes) -> bytes:
+        while up[r] != r:
+            up[r] = r = up[up[r]]
+        return r
+
     out = []
     for node, root, text in zip(ask["node"], ask["root"], ask["text"]):
         own = shingle_hashes(text, known, width)
@@ -290,10 +297,10 @@ def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int
         present = np.zeros(len(ids), dtype=np.int64)
         present[at] = 1
         both = np.add.reduceat(present[flat], begin)
-        seen = {root}
         for i in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
-            if roots[i] not in seen:
-                seen.add(roots[i])
+            a, b = top(root), top(roots[i])
+            if a != b:
+                up[b] = a
                 out.append((node, nodes[i]))
     return out
 
@@ -313,6 +320,6 @@ def _texts(source: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -
 def _of_node(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """An id can have several texts: keep those whose set is the node's."""
     known = _WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         keep = [hashlib.md5(shingle_hashes(t, known, width).tobytes()).digest() == n for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
         yield batch.filter(pa.array(keep, type=pa.bool_()))
