@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import SAMPLE_PER_CLASS, labelled_sample
+from weftline.llm.common import SAMPLE_PER_CLASS, labelled_sample, slices
 
 #: Terms for groups of people that are swapped for one another within a list.
 IDENTITY_TERMS = (
@@ -81,15 +81,16 @@ class Model:
         return self.bias + sum(known[p] for p in places if p in known)
 
 
-def _rows(lists: list[np.ndarray], index: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of a binary matrix."""
+def _rows(lists: list[np.ndarray], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of a binary matrix whose columns are the sorted `places`."""
     rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    cols = np.array([index.get(int(p), -1) for p in flat], dtype=np.int64)
-    return rows[cols >= 0], cols[cols >= 0]
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+    cols = np.searchsorted(places, flat)
+    known = (cols < len(places)) & (places[np.minimum(cols, len(places) - 1)] == flat) if len(places) else np.zeros(len(flat), bool)
+    return rows[known], cols[known]
 
 
-def fit(sample: list[tuple[list[int], list[int] | None, int]], l1: float = 5e-4, l2: float = 1e-4, counterfactual: float = 1.0, rounds: int = 150) -> Model:
+def fit(sample: list[tuple[np.ndarray, np.ndarray | None, int]], l1: float = 5e-4, l2: float = 1e-4, counterfactual: float = 1.0, rounds: int = 150) -> Model:
     """Fit on (places, places of the counterfactual or None, label) by accelerated proximal gradient.
 
     Loss: class-balanced logistic loss + l2 |w|^2 + counterfactual * mean (w.x - w.x')^2 + l1 |w|_1. With
@@ -99,15 +100,14 @@ def fit(sample: list[tuple[list[int], list[int] | None, int]], l1: float = 5e-4,
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model({}, float(np.log(share / (1 - share))))
-    lists = [np.asarray(s[0], dtype=np.int64) for s in sample]
+    lists = [np.asarray(s[0], dtype=np.int32) for s in sample]
     places, seen = np.unique(np.concatenate(lists), return_counts=True)
     places = places[seen >= 2]  # a feature of one row only can't generalise
-    index = {int(p): i for i, p in enumerate(places)}
     n, d = len(y), len(places)
-    r, c = _rows(lists, index)
+    r, c = _rows(lists, places)
     pairs = [(np.setdiff1d(s[0], s[1]), np.setdiff1d(s[1], s[0])) for s in sample if s[1] is not None]
-    gone_r, gone_c = _rows([np.asarray(a, dtype=np.int64) for a, _ in pairs], index)
-    new_r, new_c = _rows([np.asarray(b, dtype=np.int64) for _, b in pairs], index)
+    gone_r, gone_c = _rows([np.asarray(a, dtype=np.int32) for a, _ in pairs], places)
+    new_r, new_c = _rows([np.asarray(b, dtype=np.int32) for _, b in pairs], places)
     balance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
@@ -168,18 +168,26 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     terms = {w for group in IDENTITY_TERMS for w in group}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             own, other = [], []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(1).to_pylist():
                 own.append(features(text))
                 other.append(features(text, swapped=True) if words_of(text) & terms else None)
             kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(own, type=kind), pa.array(other, type=kind), batch.column(1)], names=["own", "other", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, type=kind), pa.array(other, type=kind), batch.column(2)], names=["doc_id", "own", "other", "y"])
 
-    rows = labelled_sample(docs, labels, "toxic", per_class).select("text", "y").mapInArrow(run, "own array<int>, other array<int>, y int").toArrow()
-    sample = list(zip(rows["own"].to_pylist(), rows["other"].to_pylist(), rows["y"].to_pylist(), strict=True))
-    sample.sort(key=lambda s: (s[2], s[0]))  # the sums don't depend on the order of tasks
-    return fit(sample)
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = labelled_sample(docs, labels, "toxic", per_class).select("doc_id", "text", "y").mapInArrow(run, f"doc_id {kind}, own array<int>, other array<int>, y int").toArrow()
+    rows = rows.sort_by([("y", "ascending"), ("doc_id", "ascending")]).combine_chunks()  # the sums don't depend on the order of tasks
+    return fit([(own, other, y) for own, other, y in zip(_lists(rows["own"]), _lists(rows["other"]), rows["y"].to_pylist(), strict=True)])
+
+
+def _lists(column: pa.ChunkedArray) -> Iterator[np.ndarray | None]:
+    """The lists of a column as views of its values."""
+    for chunk in column.chunks:
+        values, at, known = chunk.values.to_numpy(), chunk.offsets.to_numpy(), chunk.is_valid().to_numpy(zero_copy_only=False)
+        for a, b, ok in zip(at, at[1:], known):
+            yield values[a:b] if ok else None
 
 
 def scorer(model: Model):
@@ -197,7 +205,7 @@ def scorer(model: Model):
                     hit = known.get(w)
                     if hit is None:
                         hit = tuple(p for p in places_of(w) if p in weights)
-                        if len(known) < 300_000:  # bounded: words beyond are looked up each time
+                        if len(known) < 100_000:  # bounded: words beyond are looked up each time
                             known[w] = hit
                     if hit:
                         found.update(hit)
