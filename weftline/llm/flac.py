@@ -136,8 +136,11 @@ class _Bits:
         self.at += width
 
 
-def _encode_group(x: np.ndarray, headers: list[bytes], kind: int) -> list[bytes]:
-    """Frames of equally long rows of samples, equally long headers and one kind of subframe."""
+def _encode_group(x: np.ndarray, headers: list[bytes], kind: int, fitted: tuple | None = None) -> list[bytes]:
+    """Frames of equally long rows of samples, equally long headers and one kind of subframe.
+
+    `fitted` has the predictors of the rows and their residuals, where they are known.
+    """
     m, n = x.shape
     raw = np.frombuffer(b"".join(headers), dtype=np.uint8).reshape(m, -1)
     raw = np.concatenate([raw, crc8(raw)[:, None]], axis=1)
@@ -149,8 +152,10 @@ def _encode_group(x: np.ndarray, headers: list[bytes], kind: int) -> list[bytes]
     else:
         if kind >= _LPC:
             order = ORDER
-            coefs, shift = _predictor(x.astype(np.float32))
-            res = _lpc_residual(x, coefs, shift)
+            if fitted is None:
+                coefs, shift = _predictor(x.astype(np.float32))
+                fitted = coefs, shift, _lpc_residual(x, coefs, shift)
+            coefs, shift, res = fitted
         else:
             order = kind - _FIXED
             res = np.diff(x, n=order, axis=1)
@@ -196,16 +201,20 @@ def _encode_group(x: np.ndarray, headers: list[bytes], kind: int) -> list[bytes]
     return [data[s : s + z] + int(c).to_bytes(2, "big") for s, z, c in zip(starts.tolist(), size.tolist(), crc.tolist(), strict=True)]
 
 
-def _kinds(x: np.ndarray) -> np.ndarray:
-    """The subframe for each row: constant, else the fixed or linear predictor of the least residuals."""
+def _kinds(x: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """The subframe for each row: constant, else the fixed or linear predictor of the least residuals.
+
+    Also the linear predictors and their residuals.
+    """
     cost, d = [], x
     for order in range(5):
         cost.append(np.abs(d[:, 4 - order :]).sum(axis=1))
         d = np.diff(d, axis=1)
     coefs, shift = _predictor(x.astype(np.float32))
-    cost.append(np.abs(_lpc_residual(x, coefs, shift)).sum(axis=1) + ORDER * PRECISION)
+    res = _lpc_residual(x, coefs, shift)
+    cost.append(np.abs(res).sum(axis=1) + ORDER * PRECISION)
     kind = np.array([_FIXED, _FIXED + 1, _FIXED + 2, _FIXED + 3, _FIXED + 4, _LPC + ORDER - 1])[np.argmin(np.stack(cost), axis=0)]
-    return np.where((x == x[:, :1]).all(axis=1), _CONSTANT, kind)
+    return np.where((x == x[:, :1]).all(axis=1), _CONSTANT, kind), (coefs, shift, res)
 
 
 def encode_streams(pcm: list[bytes]) -> list[bytes]:
@@ -222,12 +231,12 @@ def encode_streams(pcm: list[bytes]) -> list[bytes]:
             some = all_of_size[cut : cut + AT_ONCE]
             raw = np.frombuffer(b"".join(pcm[i][f * BLOCK : f * BLOCK + size] for i, f in some), dtype=np.uint8).reshape(len(some), size)
             x = raw.astype(np.int32) - 128
-            kinds = _kinds(x)
+            kinds, fitted = _kinds(x)
             heads = [_header(size, f) for _, f in some]
             shape = np.array([len(h) for h in heads])
             for kind, length in sorted({*zip(kinds.tolist(), shape.tolist(), strict=True)}):
                 rows = np.flatnonzero((kinds == kind) & (shape == length))
-                done = _encode_group(x[rows], [heads[r] for r in rows], kind)
+                done = _encode_group(x[rows], [heads[r] for r in rows], kind, tuple(f[rows] for f in fitted))
                 small = size + length + 4  # a verbatim frame of this shape
                 worse = [r for r, d in zip(rows, done, strict=True) if len(d) > small]
                 plain = dict(zip(worse, _encode_group(x[worse], [heads[r] for r in worse], _VERBATIM), strict=True)) if worse else {}
@@ -258,6 +267,8 @@ def _metadata(data: bytes) -> tuple[int, bytes, list[int], int]:
             raise Corrupt("metadata ends early")
         last, kind, size = bool(data[at] & 0x80), data[at] & 0x7F, int.from_bytes(data[at + 1 : at + 4], "big")
         body = data[at + 4 : at + 4 + size]
+        if len(body) < size or (kind == 0 and size != 34):
+            raise Corrupt("metadata ends early")
         if kind == 0:
             fields = int.from_bytes(body[10:18], "big")
             total, md5 = fields & ((1 << 36) - 1), body[18:34]
