@@ -54,6 +54,14 @@ def test_bpe_agrees_with_ranks_and_decodes(spark):
     assert bpe.encode(empty(spark)).count() == 0
 
 
+def test_decoding_odd_ids(spark):
+    rows = spark.createDataFrame([(1, [15496, None, 99, 10**6, -5]), (2, None), (3, []), (4, [447, 119])], "doc_id int, ids array<int>").coalesce(1)
+    known = bpe.Vocabulary.load(bpe.default_vocabulary()).bytes_of
+    raw = {r["doc_id"]: bytes(r["raw"]) for r in bpe.decode(rows).collect()}
+    assert raw == {1: known[15496] + known[99], 2: b"", 3: b"", 4: known[447] + known[119]}
+    assert list(bpe.split_stream([b"\xe6\x97", b"\xa5x", b"\xff"])) == ["", "日x", "\ufffd", ""]
+
+
 def test_byte_table_is_a_bijection():
     assert sorted(bpe.byte_of_char().values()) == list(range(256))
 

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import slices
+
 #: Characters handed to the library at once, and so in a batch that leaves the worker.
 CHUNK_CHARS = 500_000
 
@@ -53,6 +55,8 @@ class Vocabulary:
             # a special token has characters outside the table and stands for its own text
             self.bytes_of[i] = bytes(back[c] for c in word) if all(c in back for c in word) else word.encode()
         self.size_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.start_of = np.cumsum(self.size_of) - self.size_of
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -63,13 +67,19 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def decode_lists(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bytes behind lists of ids that end at `ends`; ids outside the vocabulary stand for nothing."""
+        known = (ids >= 0) & (ids < len(self.size_of))
+        ids = np.where(known, ids, 0)
+        size = np.where(known, self.size_of[ids], 0)
+        upto = np.cumsum(size)
+        at = np.repeat(self.start_of[ids] - (upto - size), size)
+        data = self.all_bytes[at + np.arange(len(at))]
+        bounds = np.concatenate([[0], np.concatenate([[0], upto])[ends]]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
     def decode_bytes(self, ids) -> bytes:
-        """The bytes behind the ids; ids outside the vocabulary stand for nothing."""
-        known, n = self.bytes_of, len(self.bytes_of)
-        try:
-            return b"".join([known[i] for i in ids])
-        except (IndexError, TypeError):
-            return b"".join([known[i] for i in ids if i is not None and 0 <= i < n])
+        return self.decode_lists(np.array([i for i in ids if i is not None], dtype=np.int64), np.array([sum(i is not None for i in ids)]))[0].as_py()
 
     def offsets(self, text: str, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token the byte where it starts and its range of characters.
@@ -150,14 +160,11 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, keep: list[str] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary.load(path)
-        for batch in batches:
+        for batch in slices(batches, 200):
             ids = batch.column(batch.schema.get_field_index("ids"))
-            if ids.null_count or ids.values.null_count:
-                lists = [x or [] for x in ids.to_pylist()]
-            else:
-                flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
-                lists = (flat[a:b].tolist() for a, b in zip(at, at[1:]))  # one document at a time
-            raw = pa.array([words.decode_bytes(x) for x in lists], type=pa.binary())
+            counts = np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64)
+            flat = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False)
+            raw = words.decode_lists(flat, np.cumsum(counts))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in kept] + [raw], names=[*kept, "raw"])
 
     needed = [*kept, *([] if "ids" in kept else ["ids"])]
