@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators import drift, index as ix
 from weftline.plans.extraction import _values
 from weftline.plans.registry import query
-from weftline.sources import readers
+from weftline.sources import readers, stores
 from weftline.sources.bridge import page_nodes, table
 from weftline.streaming import monitor
 
@@ -57,12 +55,9 @@ def crawl_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("drift_stream")
 def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history of `drift_history` by a stream over the events file, with its result."""
-    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*" if not sf_dir.startswith("viewfs") else f"{sf_dir}/events.parquet")
+    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
     values = source.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("template"), F.concat(F.lit("page/"), F.col("event_id").cast("string")).alias("page_url"), (F.pmod(F.floor(F.col("value") * 100).cast("long"), F.lit(1000)) / 1000).alias("sigma"))
-    shared = (spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}").rstrip("/")
-    import uuid
-
-    at = f"{shared}/weftline/stream-{uuid.uuid4().hex}"
+    at = stores.scratch(spark, "stream")
     run = monitor.monitored(values).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema(monitor.OUTPUT).parquet(f"{at}/out")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,16 @@ from weftline.operators import index as ix
 from weftline.sources.readers import URL_RECORD
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; a local one only where none is set, on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='weftline-')}"
+    return f"{shared.rstrip('/')}/weftline/{name}-{uuid.uuid4().hex}"
+
+
 class ParquetStore:
     """`urls` and `annotations`; each change writes a new version, so a reader never sees half a change.
 
