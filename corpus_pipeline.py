@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import linechunks, neardup, packing, quality, toxicity
-from weftline.llm.common import durable, table
+from weftline.llm.common import durable, made, release, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; the rows of the last one."""
-    docs = table(spark, sf_dir, "documents")
+    docs, first = table(spark, sf_dir, "documents"), made()
     for i, (_, stage) in enumerate(STAGES):
         docs = durable(stage(spark, docs, sf_dir), f"stage{i}")
+        release(spark, first, made() - 1)  # what the stage wrote on its way, and its input
+        first = made() - 1
     return docs

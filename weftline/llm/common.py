@@ -33,6 +33,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_made: list[str] = []
+
+
+def release(spark: SparkSession, first: int, last: int) -> None:
+    """Remove the durable tables made from the `first` up to before the `last`, which nothing reads any more."""
+    for path in _made[first:last]:
+        _remove(spark, path)
+
+
+def made() -> int:
+    """How many durable tables there have been."""
+    return len(_made)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
@@ -42,6 +56,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weftline/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
