@@ -185,10 +185,11 @@ def _encode_group(x: np.ndarray, headers: list[bytes], kind: int, fitted: tuple
         rows = np.arange(m)[:, None]
         stop = ends - kk - 1  # the bit that ends the unary part
         b.bits[rows, stop] = 1
-        for j in range(int(k.max(initial=0))):
-            low = kk > j
-            r, c = np.nonzero(low)
-            b.bits[r, (ends - 1 - j)[r, c]] = (u[r, c] >> j) & 1
+        # the low bits of all codes in one go: bit `nth` of a code lies right after the bit that ends it
+        width = kk.reshape(-1).astype(np.int32)
+        nth = np.arange(int(width.sum()), dtype=np.int32) - np.repeat((np.cumsum(width) - width).astype(np.int32), width)
+        place = np.repeat((rows * b.bits.shape[1] + stop + 1).reshape(-1).astype(np.int32), width) + nth
+        b.bits.reshape(-1)[place] = (np.repeat(u.reshape(-1), width) >> (np.repeat(width, width) - 1 - nth)) & 1
         for p, a in enumerate(edges[:-1]):
             first = ends[:, a] - used[:, a]
             for j in range(4):
