@@ -54,8 +54,8 @@ class Vocabulary:
         for word, i in words.items():
             # a special token has characters outside the table and stands for its own text
             self.bytes_of[i] = bytes(back[c] for c in word) if all(c in back for c in word) else word.encode()
-        self.size_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self.start_of = np.cumsum(self.size_of) - self.size_of
+        self.size_of = np.array([len(b) for b in self.bytes_of], dtype=np.int32)
+        self.start_of = (np.cumsum(self.size_of) - self.size_of).astype(np.int32)
         self.all_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
 
     @classmethod
@@ -71,10 +71,11 @@ class Vocabulary:
         """The bytes behind lists of ids that end at `ends`; ids outside the vocabulary stand for nothing."""
         known = (ids >= 0) & (ids < len(self.size_of))
         ids = np.where(known, ids, 0)
-        size = np.where(known, self.size_of[ids], 0)
-        upto = np.cumsum(size)
+        size = np.where(known, self.size_of[ids], np.int32(0))
+        upto = np.cumsum(size, dtype=np.int32)  # a slice of texts, whose bytes Arrow counts in 32 bits as well
         at = np.repeat(self.start_of[ids] - (upto - size), size)
-        data = self.all_bytes[at + np.arange(len(at))]
+        at += np.arange(len(at), dtype=np.int32)
+        data = self.all_bytes[at]
         bounds = np.concatenate([[0], np.concatenate([[0], upto])[ends]]).astype(np.int32)
         return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
@@ -109,6 +110,12 @@ def split_stream(pieces: Iterator[bytes]) -> Iterator[str]:
     yield decoder.decode(b"", final=True)
 
 
+def _list_array(lists: list) -> pa.ListArray:
+    """Lists of small numbers as an Arrow array, by way of flat ones."""
+    flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(x, dtype=np.int32) for x in lists)])
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32), flat)
+
+
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of about CHUNK_CHARS; a longer text is a slice by itself."""
     at, held = 0, 0
@@ -136,11 +143,11 @@ def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False
         for batch in (part for whole in batches for part in _chunks(whole)):
             texts = batch.column(1).to_pylist()
             ids = words.encode(texts)
-            columns = [batch.column(0), pa.array(ids, type=pa.list_(pa.int32()))]
+            columns = [batch.column(0), _list_array(ids)]
             names = ["doc_id", "ids"]
             if offsets:
                 found = [words.offsets(t, i) for t, i in zip(texts, ids, strict=True)]
-                columns += [pa.array([f[k] for f in found], type=pa.list_(pa.int32())) for k in range(3)]
+                columns += [_list_array([f[k] for f in found]) for k in range(3)]
                 names += ["byte_start", "char_start", "char_end"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
