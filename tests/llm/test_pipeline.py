@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weftline.llm import linechunks, packing, quality, toxicity
+from weftline.llm import linechunks, neardup, packing, quality, toxicity
 
 from .test_operators import awkward, closure, expected_lines
 
@@ -71,6 +71,23 @@ def test_near_dedup_keeps_one_of_each_group(steps):
     assert {r["doc_id"] for r in rows(after)} == want and len(rows(after)) == len(want)
 
 
+def test_near_dedup_takes_five_word_shingles(spark, steps):
+    base = [f"w{i}" for i in range(40)]
+    far = [*base[:20], "other", *base[21:]]  # 0.90 by two words, 0.76 by five
+    long = [f"v{i}" for i in range(200)]
+    near = [*long[:100], "other", *long[101:]]  # 0.95 by five words
+    rows_in = [(i, " ".join(t)) for i, t in enumerate((base, far, long, near))]
+    shape = steps[3][1].columns
+    assert [r["doc_id"] for r in rows(corpus_pipeline.drop_near_copies(spark, awkward(spark, rows_in).select(*shape), SMALL))] == [0, 1, 2]
+    _, before, after = steps[3]
+    sets, root = {r["doc_id"]: neardup.shingles(r["text"] or "", 5) for r in rows(before)}, {}
+    for i, own in sets.items():  # in the order of ids
+        near = {root[j] for j in root if own and sets[j] and 100 * len(own & sets[j]) >= 80 * len(own | sets[j])}
+        least = min({i, *near})
+        root = {j: least if r in near else r for j, r in root.items()} | {i: least}
+    assert {r["doc_id"] for r in rows(after)} == set(root.values())
+
+
 def test_packing_places_every_byte(steps):
     _, before, after = steps[4]
     got, used = collections.Counter(), collections.Counter()
