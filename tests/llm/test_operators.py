@@ -252,6 +252,41 @@ def test_line_chunks_leave_one_of_each(spark):
     assert found == {c: n - 1 for c, n in repeats.items()} and gone
 
 
+def test_line_runs_against_brute_force(spark):
+    """Repeated runs of fifty words in short lines, between lines that stand nowhere else."""
+    r = random.Random(8)
+    line = lambda n: " ".join(f"{r.choice('abc')}{r.randrange(10**9)}" for _ in range(n))
+    passages = [[line(r.choice([9, 20, 20, 30])) for _ in range(k)] + [line(25), line(25)] for k in (1, 1, 2, 3, 4, 8) for _ in range(6)]
+    texts, own = [], []
+    for _ in range(60):
+        held = r.sample(passages, 3)
+        alone = [[line(r.choice([1, 5, 20])) for _ in range(r.randrange(1, 4))] for _ in range(4)]
+        own.append(sum(alone, []))
+        texts.append(sum((a + p for a, p in zip(alone, held)), []) + alone[3])
+    same = line(20)
+    texts.append([same] * 7)
+    rows = linechunks.dedup(awkward(spark, [(i, "\n".join(t)) for i, t in enumerate(texts)])).collect()
+    left = {x["doc_id"]: x["text"].split("\n") for x in rows}
+    seen = collections.Counter()
+    for i, t in left.items():
+        words = [len(x.split()) for x in t]
+        seen.update("\n".join(t[a:b]) for a in range(len(t)) for b in range(a + 1, len(t) + 1) if sum(words[a:b]) >= 50)
+    assert max(seen.values()) == 1
+    for i, lines in enumerate(own):
+        assert [x for x in left[i] if x in set(lines)] == lines
+    for p in passages:
+        holders = [i for i, t in enumerate(texts) if p[0] in t]
+        assert [i for i in holders if p[0] in left[i] or p[-1] in left[i]] == holders[:1]
+        assert not holders or "\n".join(p) in "\n".join(left[holders[0]])
+    assert left[60] == [same] * 3
+
+
+def test_lines_that_stay_are_spared():
+    assert linechunks.spared([(1, 4, 7), (2, 5, 8)], [(0, 3)]) == [(3, 4), (3, 5)]
+    assert linechunks.spared([(1, 4, 7)], [(2, 3), (8, 9)]) == [(1, 4)]  # within what goes: whole where that stays
+    assert linechunks.spared([(1, 4, 7), (3, 6, 7)], [(2, 5)]) == [(1, 4), (3, 6)]  # the two are one at the source
+
+
 def test_chunks_resist_shifts():
     r = random.Random(5)
     body = [f"line {r.random()}".encode() for _ in range(40)]

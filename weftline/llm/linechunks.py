@@ -1,14 +1,23 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by content-defined chunks of lines and by runs of lines of fifty words.
 
 A rolling hash over the hashes of the last lines ends a chunk wherever it falls into one of DIVISOR
 classes, so the same passage is cut alike wherever it stands. A line of LONG_WORDS words or more is a
-passage by itself and its own chunk. Chunks that occur again anywhere are removed after comparing their
-bytes with those of the occurrence that stays, the one of the smallest (doc_id, text hash, position).
+passage by itself and its own chunk. Where a passage is cut first depends on what stands before it, so
+the shortest runs of lines that reach LONG_WORDS words are taken too, one from every line on and one up to
+every line: any repeated passage of so many words is the union of such runs, whatever surrounds it.
+
+Chunks and runs that occur again anywhere are removed after comparing their bytes with those of the
+occurrence that stays, the one of the smallest (doc_id, text hash, position). The lines of a run that
+stays stay though other runs over them may go, so no passage is lost; those of a chunk too, unless it lies
+within a longer repeated passage, whose runs stay elsewhere. Within a text, what overlaps the first of
+equal runs there is no further occurrence.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +32,7 @@ WINDOW = 2
 DIVISOR = 2
 #: Lines in a chunk at least, unless a long line or the end of the text stops it.
 LEAST_LINES = 2
-#: Words that make a line a chunk of its own.
+#: Words that make a line a chunk of its own, and a run of lines a passage.
 LONG_WORDS = 50
 
 _FACTOR = 0x9E3779B97F4A7C15
@@ -62,12 +71,84 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
     return out
 
 
+def runs(lines: list[bytes]) -> set[tuple[int, int]]:
+    """(first line, line after the last) of the shortest runs of LONG_WORDS words from and up to each line.
+
+    They begin and end with a line that isn't blank.
+    """
+    words = [len(line.split()) for line in lines]
+    out: set[tuple[int, int]] = set()
+    end = total = 0
+    for start, n in enumerate(words):
+        while end < len(words) and total < LONG_WORDS:
+            total += words[end]
+            end += 1
+        if total < LONG_WORDS:
+            break
+        if n:
+            out.add((start, end))
+        total -= n
+    start, total = len(words), 0
+    for end in range(len(words), 0, -1):
+        while start > 0 and total < LONG_WORDS:
+            start -= 1
+            total += words[start]
+        if total < LONG_WORDS:
+            break
+        if words[end - 1]:
+            out.add((start, end))
+        total -= words[end - 1]
+    return out
+
+
 def removable(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(first line, line after the last, bytes) of the chunks that may go if they occur elsewhere."""
+    """(first line, line after the last, bytes) of the chunks and runs that may go if they occur elsewhere."""
     lines = text.encode().split(b"\n")
-    for a, b, ok in chunks(lines):
-        if ok:
-            yield a, b, b"\n".join(lines[a:b])
+    first: dict[bytes, int] = {}  # where the first of equal ones ends: what overlaps it is no further occurrence
+    for a, b in sorted({(a, b) for a, b, ok in chunks(lines) if ok} | runs(lines)):
+        data = b"\n".join(lines[a:b])
+        if first.setdefault(xxhash.xxh3_128_digest(data), b) in range(a + 1, b):
+            continue
+        yield a, b, data
+
+
+def spared(gone: list[tuple[int, int, int]], stays: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges of `gone` (first line, line after the last, source) less the lines of `stays`.
+
+    Ranges of one source that overlap stand there side by side as here, so they are one longer range. A
+    range of `stays` that lies within such a one stands whole at the source and isn't held here.
+    """
+    longer: list[tuple[int, int]] = []
+    last: dict[int, tuple[int, int]] = {}
+    for a, b, source in sorted(set(gone)):
+        if source in last and a < last[source][1]:
+            a, b = last[source][0], max(b, last[source][1])
+        last[source] = (a, b)
+        longer.append((a, b))
+    longer.sort()
+    gone = sorted({(a, b) for a, b, _ in gone})
+    starts, reach = [a for a, _ in longer], list(accumulate((b for _, b in longer), max))
+    size = max((b for _, b in [*gone, *stays]), default=0)
+    edge = [0] * (size + 1)
+    for a, b in set(stays):
+        at = bisect_right(starts, a)
+        if not at or reach[at - 1] < b:
+            edge[a] += 1
+            edge[b] -= 1
+    free = [n == 0 for n in accumulate(edge)]
+    held = [0, *accumulate(not f for f in free)]  # lines that stay before each line
+    out: set[tuple[int, int]] = set()
+    for a, b in gone:
+        if held[a] == held[b]:
+            out.add((a, b))
+            continue
+        for i in range(a, b):
+            if free[i] and (i == a or not free[i - 1]):
+                end = i
+                while end < b and free[end]:
+                    end += 1
+                out.add((i, end))
+    return sorted(out)
 
 
 def _halves(data: bytes) -> tuple[int, int]:
@@ -90,11 +171,11 @@ def _hash_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fetch_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the chunks that `wanted` lists for each text; a few megabytes at a time."""
-    names = ["id", "tk", "a", "b", "h1", "h2", "keeper", "data"]
+    names = ["id", "tk", "a", "b", "h1", "h2", "keeper", "source", "data"]
 
     def made(batch, take, found):
         rows = pa.array(take, type=pa.int32())
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array([f[k] for f in found], type=t) for k, t in enumerate(kinds))], names=names)
 
     for batch in batches:
@@ -104,47 +185,72 @@ def _fetch_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for w in batch.column(3)[row].as_py():
                 data = b"\n".join(lines[w["a"] : w["b"]])
                 take.append(row)
-                found.append((w["a"], w["b"], w["h1"], w["h2"], w["keeper"], data))
+                found.append((w["a"], w["b"], w["h1"], w["h2"], w["keeper"], w["source"], data))
                 size += len(data)
-            if size > 8_000_000:
-                yield made(batch, take, found)
-                take, found, size = [], [], 0
+                if size > 8_000_000:
+                    yield made(batch, take, found)
+                    take, found, size = [], [], 0
         yield made(batch, take, found)
 
 
+def _spare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`spans` less the lines that stay, and `cut`: what they cover, as ranges that don't touch."""
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    for batch in slices(batches):
+        spans, cut = [], []
+        for gone, stays in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            left = spared([(s["a"], s["b"], s["source"]) for s in gone], [(s["a"], s["b"]) for s in stays])
+            whole: list[list[int]] = []
+            for a, b in left:
+                if whole and a <= whole[-1][1]:
+                    whole[-1][1] = max(whole[-1][1], b)
+                else:
+                    whole.append([a, b])
+            spans.append([{"a": a, "b": b} for a, b in left])
+            cut.append([{"a": a, "b": b} for a, b in whole])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, type=kind), pa.array(cut, type=kind)], names=["id", "tk", "spans", "cut"])
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tk, spans): for each text with chunks that occur before it, their ranges of lines.
+    """(id, tk, spans, cut): for each text with chunks or runs that occur before, their ranges of lines.
+
+    Ranges of `spans` can overlap; `cut` has the same lines in ranges that don't.
 
     `tk` is the hash of the text; id and tk name a text, so rows that repeat both are one text.
     """
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tk"), "text")
     found = durable(texts.mapInArrow(_hash_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long"), "chunks")
-    first = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("id", "tk", "a")).alias("first")).where("times > 1")
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("id", "tk", "a")).alias("first"), F.max(F.struct("id", "tk", "a")).alias("last")).where("NOT first <=> last").drop("last")
     wanted = (
         found.join(first, ["h1", "h2"])
-        .select("id", "tk", "a", "b", "h1", "h2", F.struct("id", "tk", "a").eqNullSafe(F.col("first")).alias("keeper"))
-        .groupBy("id", "tk").agg(F.collect_set(F.struct("a", "b", "h1", "h2", "keeper")).alias("wanted"))  # a text's own chunks
+        .select("id", "tk", "a", "b", "h1", "h2", F.struct("id", "tk", "a").eqNullSafe(F.col("first")).alias("keeper"), F.xxhash64("first.id", "first.tk", F.col("first.a") - F.col("a")).alias("source"))
+        .groupBy("id", "tk").agg(F.collect_set(F.struct("a", "b", "h1", "h2", "keeper", "source")).alias("wanted"))  # a text's own chunks
     )
     w = wanted.select(F.col("id").alias("wid"), F.col("tk").alias("wtk"), "wanted")
     sides = texts.join(w, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tk") == F.col("wtk"))).select("id", "tk", "text", "wanted")
-    data = durable(sides.mapInArrow(_fetch_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long, keeper boolean, data binary"), "chunk-bytes")
+    data = durable(sides.mapInArrow(_fetch_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long, keeper boolean, source long, data binary"), "chunk-bytes")
     kept = data.where("keeper").groupBy("h1", "h2").agg(F.min("data").alias("kept"))
     same = data.where("NOT keeper").join(kept, ["h1", "h2"]).where(F.col("data") == F.col("kept"))
-    return same.groupBy("id", "tk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    ranges = same.select("id", "tk", "a", "b", "source", F.lit(False).alias("keeper")).union(data.where("keeper").select("id", "tk", "a", "b", "source", "keeper"))
+    of = lambda keeper: F.collect_set(F.when(F.col("keeper") == keeper, F.struct("a", "b", "source")))
+    both = ranges.groupBy("id", "tk").agg(of(False).alias("spans"), of(True).alias("stays")).where(F.size("spans") > 0)
+    span = "array<struct<a:int,b:int>>"
+    return both.mapInArrow(_spare, f"id {kind}, tk long, spans {span}, cut {span}").where(F.size("spans") > 0)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `text` less its repeated chunks, and `removed`: their ranges of lines (never null).
+    """`docs` with `text` less its repeated chunks and runs, and `removed`: their ranges of lines (never null).
 
-    Of equal chunks the first by (id, text hash, line) stays, also within one text. A null text stays
+    Of equal chunks or runs the first by (id, text hash, line) stays, also within one text. Ranges of
+    `removed` can overlap. A null text stays
     null; texts without repeated chunks stay as they are; rows are neither added nor dropped, and rows
     that repeat id and text fare alike. A column already called `removed` is replaced.
     """
-    spans = repeated(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("tk").alias("__tk"), F.col("spans").alias("__spans"))
+    spans = repeated(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("tk").alias("__tk"), F.col("spans").alias("__spans"), F.col("cut").alias("__cut"))
     keyed = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tk")), "left")
-    left = F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.exists(F.col("__spans"), lambda s: (i >= s["a"]) & (i < s["b"])))
+    left = F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.exists(F.col("__cut"), lambda s: (i >= s["a"]) & (i < s["b"])))
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     none = F.array().cast("array<struct<a:int,b:int>>")
     kept = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed"]

@@ -64,9 +64,10 @@ def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without the chunks of lines that stand elsewhere."""
+    """Every document's text without the chunks and runs of lines that stand elsewhere; lines of several count once."""
     done = linechunks.dedup(table(spark, sf_dir, "documents"))
-    gone = F.aggregate("removed", F.lit(0), lambda n, s: n + s["b"] - s["a"])
+    # ranges are in order, so a line counts where it is beyond all ranges before
+    gone = F.aggregate("removed", F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")), lambda x, s: F.struct((x["n"] + F.greatest(s["b"] - F.greatest(s["a"], x["to"]), F.lit(0))).alias("n"), F.greatest(s["b"], x["to"]).alias("to")), lambda x: x["n"])
     return done.select("doc_id", "text", F.size("removed").alias("removed_chunks"), gone.alias("removed_lines"))
 
 
