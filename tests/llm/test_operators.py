@@ -219,6 +219,26 @@ def test_registers_estimate_similarity():
         assert abs(neardup.estimate(sig[:1], sig[1:], len(a), len(b))[0] - share) < 0.12
 
 
+def test_neighbours_with_repeated_ids(spark):
+    """More ids than anchors; the nearest ids fill a block with copies and with other vectors of their own."""
+    r = np.random.default_rng(6)
+    x = r.standard_normal((1500, 8))
+    near = np.array([9.0] + [0.0] * 7) + r.standard_normal((30, 8)) / 10
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v.tolist()) for i, v in enumerate(near) for _ in range(25)]
+    rows += [(2000 + i, (v * (1 - j / 1000)).tolist()) for i, v in enumerate(near) for j in range(1, 25)]
+    query = [(-1, [1.0] + [0.0] * 7)]
+    vectors, asked = (spark.createDataFrame(t, "vec_id long, embedding array<double>") for t in (rows, query))
+    best = {}
+    for i, v in rows:
+        best[i] = max(best.get(i, -np.inf), v[0])
+    want = sorted(best, key=lambda i: (-best[i], i))[:20]
+    assert [n["vec_id"] for n in sorted(ann.search(vectors, asked, probe=1.0).collect(), key=lambda n: n["rank"])] == want
+    ids, data = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    norm2 = float((data**2).sum(axis=1).max()) * (1 + 1e-12)
+    _, col, _ = ann.scan(ids, data, norm2, np.array([-1]), np.array(query[0][1])[None, :], 20, ann.rotation(9), np.array([-np.inf]))
+    assert list(ids[col]) == want
+
+
 def expected_lines(rows):
     """Every removable chunk but the first of its bytes, by id, text hash and line."""
     return {c: n for c, n in collections.Counter(data for _, t in set(rows) for _, _, data in linechunks.removable(t or "")).items() if n > 1}

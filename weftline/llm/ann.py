@@ -84,7 +84,7 @@ def seeds(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, anchors: np.ndarray
 
 
 def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.ndarray, k: int, turn: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, candidate position, inner product) of each query's best k in one block.
+    """(query position, candidate position, inner product) of each query's best k ids in one block.
 
     `norm2` is the square of the common norm after the added dimension, `floor` a score that a query's
     k-th answer reaches: what is further away than that isn't returned. Column blocks are taken as matrix products while most pairs are alive, and
@@ -96,6 +96,7 @@ def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.
     qr = np.concatenate([q, np.zeros((len(q), 1))], axis=1) @ turn
     edges = [*range(0, width, COLUMNS), width]
     bound = ((q * q).sum(axis=1) + norm2 - 2 * floor) * (1 + 1e-9) + 1e-9
+    several = len(np.unique(ids)) < len(ids)  # an id with several vectors answers once, by the best
     out = []
     for at in range(0, len(q), 128):
         some = slice(at, min(at + 128, len(q)))
@@ -118,7 +119,7 @@ def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.
         row = row + at
         own = ids[col] == q_ids[row]
         row, col = row[~own], col[~own]
-        if len(row) > k * len(y):  # the best k by distance, with room for ties, before exact scores
+        if not several and len(row) > k * len(y):  # the best k by distance, with room for ties, before exact scores
             part = part[~own]
             order = np.lexsort((part, row))
             first = np.searchsorted(row[order], np.arange(at, at + len(y)))
@@ -133,6 +134,10 @@ def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.
             score[c : c + 65_536] = (x[col[c : c + 65_536]] * q[row[c : c + 65_536]]).sum(axis=1)
         order = np.lexsort((ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
+        if several:
+            pair = np.stack([row, ids[col]], axis=1)
+            once = np.sort(np.unique(pair, axis=0, return_index=True)[1])
+            row, col, score = row[once], col[once], score[once]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         out.append((row[rank < k], col[rank < k], score[rank < k]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -189,7 +194,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probe: float = P
                 yield pd.DataFrame(out)
 
     asked = valid(queries, id_col, vector_col).where(F.size("vector") == width)
-    index = table.mapInPandas(lambda f: deal(f, 1, True), "vec_id long, data binary, lists array<int>").select("vec_id", "data", F.col("lists")[0].alias("list"))
+    index = table.mapInPandas(lambda f: deal(f, 1, True), "vec_id long, data binary, lists array<int>").select("vec_id", "data", F.col("lists")[0].alias("list")).dropDuplicates(["vec_id", "data"])
     index = durable(index, "index")
     probing = asked.mapInPandas(lambda f: deal(f, probes, False), "vec_id long, data binary, lists array<int>, floor double, near array<long>, scores array<double>")
     probing = durable(probing, "probing")
