@@ -1,7 +1,7 @@
 """URL filter: explicit rules first, then a tree of path templates for each host. DataFrame operations only.
 
-Below each host the path's segments form a tree. A node with many children that are mostly seen once or
-twice holds identifiers: they become one wildcard, which keeps the file extension. Branches under one
+Below each host the path's segments form a tree. A node with many children of few rows each, on average,
+holds identifiers: they become one wildcard, which keeps the file extension. Repeated rows count each. Branches under one
 node whose share of bad labelled pages doesn't differ from that of the node's other branches are merged.
 A template is rejected where its smoothed share of good labelled pages falls below PURITY.
 """
