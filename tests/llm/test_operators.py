@@ -12,6 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, packing, quality, toxicity, urltree
+from weftline.llm.common import labelled_sample
+from weftline.llm.linear import sparse
 
 SMALL = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
@@ -146,15 +148,15 @@ def test_classifiers_on_held_out_labels(spark):
 
 def test_quality_awkward_rows(spark):
     docs = awkward(spark)
-    model = quality.fit(np.zeros((0, len(quality.NAMES))), np.zeros(0))
+    model = quality.fit(np.zeros((0, len(quality.NAMES))), [], np.zeros(0))
     rows = quality.score(docs, model).collect()
     assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert quality.score(empty(spark), model).count() == 0
 
 
-def closure(rows, percent=80):
+def closure(rows, percent=80, width=2):
     """Components by all pairs, for rows of (doc_id, text)."""
-    sets = [(i, neardup.shingles(t or "")) for i, t in rows]
+    sets = [(i, neardup.shingles(t or "", width)) for i, t in rows]
     root = list(range(len(sets)))
 
     def find(x):
@@ -438,3 +440,83 @@ def test_nearest_neighbours(spark):
     assert ann.search(vectors.limit(0), vectors, k=5).count() == 0
     few = vectors.where("vec_id in (0, 1, 2)")
     assert ann.search(few, few.where("vec_id = 0"), k=10).count() == 2
+
+
+def test_sample_is_bounded_by_rows_and_bytes(spark):
+    rows = [(1, f"copy {i % 7}") for i in range(100_000)] + [(i, "y" * 3000) for i in range(2, 60)] + [(60, "z" * 20_000_000), (61, None), (62, "")]
+    docs = awkward(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 63)] + [(1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
+    held = {i for i in range(1, 63) if zlib.crc32(str(i).encode()) % 5 == 0}
+    got = labelled_sample(docs, labels, "toxic").collect()
+    ids = [r["doc_id"] for r in got]
+    assert len(ids) == len(set(ids)) and set(ids) == set(range(1, 63)) - held - {60}
+    few = labelled_sample(docs, labels, "toxic", per_class=2).collect()
+    assert collections.Counter(r["y"] for r in few) == {0: 2, 1: 2}
+    small = labelled_sample(docs, labels, "toxic", most_bytes=50_000).collect()
+    assert all(sum(len(r["text"]) for r in small if r["y"] == y) <= 50_000 for y in (0, 1)) and len(small) >= 30
+    assert labelled_sample(empty(spark), labels, "toxic").count() == 0
+
+
+def confounded(seed=5):
+    """Neutral words and a group's name that goes with the label."""
+    r = random.Random(seed)
+    plain = ["field", "river", "stone", "house"]
+    for i in range(300):
+        bad = int(i % 3 == 0)
+        who = r.choice(["muslims", "jews"]) if bad else r.choice(["christians", "hindus"])
+        yield f"the {who} " + " ".join(r.choices(plain, k=6)), bad
+
+
+def test_counterfactual_fit_is_the_minimum():
+    """Against plain proximal gradient on dense matrices with a step of its own."""
+    rows = list(confounded())
+    sample = [(np.array(toxicity.features(t), np.int32), np.array(toxicity.features(t, swapped=True), np.int32), y) for t, y in rows]
+    places, seen = np.unique(np.concatenate([s[0] for s in sample]), return_counts=True)
+    places = places[seen >= 2]
+    x = np.array([np.isin(places, s[0]) for s in sample], float)
+    swapped = np.array([np.isin(places, s[1]) for s in sample], float)
+    y = np.array([s[2] for s in sample], float)
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    for weight in (0.0, 1.0, 10.0):
+
+        def value(w, b):
+            z = x @ w + b
+            return (share * (np.logaddexp(0, z) - y * z)).sum() + toxicity.L2 / 2 * w @ w + weight * (((x - swapped) @ w) ** 2).mean() + toxicity.L1 * np.abs(w).sum()
+
+        both = np.hstack([x, np.ones((len(x), 1))])
+        step = 1 / (0.25 * np.linalg.norm(both.T @ (both * share[:, None]), 2) + toxicity.L2 + 2 * weight * np.linalg.norm((x - swapped).T @ (x - swapped) / len(x), 2))
+        w, b = np.zeros(len(places)), 0.0
+        for _ in range(30_000):
+            z = x @ w + b
+            g = share * (1 / (1 + np.exp(-z)) - y)
+            w = w - step * (x.T @ g + toxicity.L2 * w + 2 * weight * (x - swapped).T @ ((x - swapped) @ w) / len(x))
+            w, b = np.sign(w) * np.maximum(np.abs(w) - step * toxicity.L1, 0), b - step * g.sum()
+        loss = toxicity.Loss(sample, places, toxicity.L2, weight)
+        own = sparse(loss, toxicity.L1)
+        assert abs(value(own[:-1], own[-1]) - value(w, b)) < 1e-3
+        assert abs(loss.value(own) + toxicity.L1 * np.abs(own[:-1]).sum() - value(own[:-1], own[-1])) < 1e-9
+
+
+def test_counterfactuals_close_the_gap_between_groups():
+    sample = [(np.array(toxicity.features(t), np.int32), np.array(toxicity.features(t, swapped=True), np.int32), y) for t, y in confounded()]
+    gap = {}
+    for weight in (0.0, toxicity.COUNTERFACTUAL):
+        model = toxicity.fit(sample, counterfactual=weight)
+        a, b = (1 / (1 + np.exp(-model.logit(toxicity.features(t)))) for t in ("muslims field", "christians field"))
+        gap[weight] = abs(a - b)
+    assert gap[0.0] > 0.5 and gap[toxicity.COUNTERFACTUAL] < 0.05
+
+
+def test_ranker_fits_its_pairs():
+    """The gradient of the pairwise loss vanishes, and hashed features alone can tell texts apart."""
+    r = random.Random(3)
+    good, bad = ["lorem", "ipsum", "dolor", "sit"], ["spamm", "winnn", "clikk", "freee"]
+    texts = [" ".join(r.choices(good if i % 2 else bad, k=12)) for i in range(120)]
+    y = np.array([i % 2 for i in range(120)])
+    figures, hashed = quality.evidence(texts)
+    model = quality.fit(np.zeros_like(figures), hashed, y, pairs=2000)
+    scores = model.probability(model.preference(np.zeros_like(figures), hashed))
+    assert ((scores >= quality.CUT) == (y == 1)).all()
+    whole = quality._grams("é日本🎉" * 400_000)  # more than a chunk
+    codes = [ord(c) for c in "é日本🎉" * 400_000]
+    assert whole.sum() == len(codes) - 2 and (quality._grams("é日本🎉" * 3)[whole == 0] == 0).all()

@@ -4,7 +4,6 @@ import collections
 import math
 import os
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,7 +43,7 @@ def test_filters_keep_what_a_plain_loop_keeps(spark, steps):
     (_, before, after), (_, _, good) = steps[0], steps[1]
     assert rows(after) == [r for r in rows(before) if 1 / (1 + math.exp(-toxic.logit(toxicity.features(r["text"])))) < 0.5]
     model = quality.train(docs, labels)
-    score = lambda t: model.probability(np.array([quality.features(t)]))[0]
+    score = lambda t: model.probability(model.preference(*quality.evidence([t])))[0]
     assert rows(good) == [r for r in rows(after) if score(r["text"]) >= quality.CUT]
     known = {r["doc_id"]: r for r in labels.collect()}
     lost = [r for r in rows(before) if r["doc_id"] in known and known[r["doc_id"]]["toxic"] == 0 and r["doc_id"] not in {x["doc_id"] for x in rows(after)}]
@@ -67,7 +66,7 @@ def test_line_dedup_removes_all_but_one_of_each_chunk(steps):
 
 def test_near_dedup_keeps_one_of_each_group(steps):
     _, before, after = steps[3]
-    want = {c for i, n, c in closure([(r["doc_id"], r["text"]) for r in rows(before)])}
+    want = {c for i, n, c in closure([(r["doc_id"], r["text"]) for r in rows(before)], width=5)}
     assert {r["doc_id"] for r in rows(after)} == want and len(rows(after)) == len(want)
 
 
@@ -111,3 +110,25 @@ def test_stages_take_awkward_and_empty_tables(spark):
 def test_run_is_the_stages_in_turn(spark, steps):
     done = corpus_pipeline.run(spark, SMALL)
     assert done.count() == steps[-1][2].count() and done.select(F.sum("n_tokens")).first() == steps[-1][2].select(F.sum("n_tokens")).first()
+
+
+def test_near_dedup_knows_documents_without_an_id_by_their_text(spark, steps):
+    long = " ".join(f"w{i}" for i in range(60))
+    data = [(None, long)] * 4 + [(None, "quite another text of more than five words")] + [(7, "one text of seven words or so")] * 3 + [(7, "a text of its own with the same id")] + [(8, long + " end")] + [(None, None)] * 2
+    shape = steps[3][1].columns
+    kept = corpus_pipeline.drop_near_copies(spark, awkward(spark, data).select(*shape), SMALL).collect()
+    got = collections.Counter((r["doc_id"], r["text"]) for r in kept)
+    assert got == {(8, long + " end"): 1, (None, data[4][1]): 1, (7, data[5][1]): 1, (7, data[8][1]): 1, (None, None): 1}
+
+
+def test_runs_side_by_side_keep_their_tables(spark):
+    from weftline.llm.common import collecting, durable, release
+
+    with collecting() as a:
+        one = durable(spark.range(3), "one")
+        with collecting() as b:
+            two = durable(spark.range(5), "two")
+    release(spark, a)
+    assert len(a) == len(b) == 1 and two.count() == 5
+    with pytest.raises(Exception):
+        one.count()

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of a training sample for each class, at most.
+#: Rows and bytes of text in a training sample for each class, at most; a text of more than a sixteenth
+#: of these bytes isn't learnt from.
 SAMPLE_PER_CLASS = 4000
+SAMPLE_BYTES = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,18 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-_made: list[str] = []
+#: The durable tables made in the innermost `collecting` block of this thread, or None outside of any.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
-def release(spark: SparkSession, first: int, last: int) -> None:
-    """Remove the durable tables made from the `first` up to before the `last`, which nothing reads any more."""
-    for path in _made[first:last]:
-        _remove(spark, path)
+@contextlib.contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The paths of the durable tables made inside the block, in order; blocks of other threads have their own."""
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield paths
+    finally:
+        _made.reset(token)
 
 
-def made() -> int:
-    """How many durable tables there have been."""
-    return len(_made)
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove durable tables that nothing reads any more."""
+    for path in paths:
+        _remove(spark, path)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -56,7 +67,9 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weftline/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _made.append(path)
+    paths = _made.get()
+    if paths is not None:
+        paths.append(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -70,6 +83,17 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them where `df` has such a column (Spark ignores case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of so many rows, which is what a worker holds as Python objects at once."""
     for batch in batches:
@@ -82,11 +106,12 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(doc_id, text, y) of at most `per_class` rows for each class, never a held-out row.
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(doc_id, text, y) of at most `per_class` rows and `most_bytes` of text for each class, none held out.
 
     Ids are taken in the order of a hash, so the sample is the same at every run. Rows without an id
-    or without the label take no part; several labels of one id count as their maximum.
+    or without the label take no part; several labels of one id count as their maximum, and of several
+    rows of one id the shortest text counts (the smallest of these). An empty table gives no rows.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & ~held_out())
@@ -98,4 +123,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
         part = known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return text.join(F.broadcast(ids), "doc_id")  # two times per_class rows at most
+    found = text.join(F.broadcast(ids), "doc_id")  # two times per_class ids at most
+    sized = F.struct(F.octet_length("text").cast("long").alias("bytes"), F.col("text"))
+    one = found.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(sized).alias("t")).select("doc_id", "y", "t.bytes", "t.text")
+    one = durable(one.where(F.col("bytes") <= most_bytes // 16), f"sample-{target}")
+    upto = F.sum("bytes").over(Window.partitionBy("y").orderBy(order, "doc_id"))  # per_class rows at most
+    kept = one.select("doc_id", "y", upto.alias("upto")).where(F.col("upto") <= most_bytes).select("doc_id", "y")
+    return one.select("doc_id", "text").join(F.broadcast(kept), "doc_id")

@@ -2,12 +2,13 @@
 
 Training takes a bounded, labelled sample. Where a sampled text names a group of people, its
 counterfactual swaps every identity term for another one of the same list; the loss adds the squared
-change of the score, so that the mention itself carries no weight. An L1 term leaves a small table of
-weights, which is all that scoring needs.
+change of the logit, so that the mention itself carries no weight. An L1 term leaves a small table of
+weights, which is all that scoring needs. The minimum is found to a tolerance on its gradient.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import SAMPLE_PER_CLASS, labelled_sample, slices
+from weftline.llm.linear import Rows, sparse
 
 #: Terms for groups of people that are swapped for one another within a list.
 IDENTITY_TERMS = (
@@ -81,69 +83,80 @@ class Model:
         return self.bias + sum(known[p] for p in places if p in known)
 
 
-def _rows(lists: list[np.ndarray], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of a binary matrix whose columns are the sorted `places`."""
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+def _rows(lists: list[np.ndarray], places: np.ndarray) -> Rows:
+    """The binary matrix of `lists` whose columns are the sorted `places`; others are left out."""
+    flat = np.concatenate([np.zeros(0, np.int32), *lists])
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     cols = np.searchsorted(places, flat)
     known = (cols < len(places)) & (places[np.minimum(cols, len(places) - 1)] == flat) if len(places) else np.zeros(len(flat), bool)
-    return rows[known], cols[known]
+    return Rows(np.bincount(row[known], minlength=len(lists)), cols[known], None, len(places))
 
 
-def fit(sample: list[tuple[np.ndarray, np.ndarray | None, int]], l1: float = 5e-4, l2: float = 1e-4, counterfactual: float = 1.0, rounds: int = 150) -> Model:
-    """Fit on (places, places of the counterfactual or None, label) by accelerated proximal gradient.
+#: Weights of the terms of the loss.
+L1, L2, COUNTERFACTUAL = 3e-4, 5e-3, 1.0
 
-    Loss: class-balanced logistic loss + l2 |w|^2 + counterfactual * mean (w.x - w.x')^2 + l1 |w|_1. With
-    one class only, or no row, the score is that class's smoothed share.
+
+class Loss:
+    """Class-balanced logistic loss + l2/2 |w|^2 + counterfactual * mean of (w.x - w.x')^2, and its bounds.
+
+    The last coordinate is the bias, which no term but the first holds.
+    """
+
+    def __init__(self, sample: list[tuple[np.ndarray, np.ndarray | None, int]], places: np.ndarray, l2: float, counterfactual: float):
+        self.y = np.array([s[2] for s in sample], dtype=float)
+        self.x = _rows([np.asarray(s[0], dtype=np.int32) for s in sample], places)
+        pairs = [(np.setdiff1d(s[0], s[1]), np.setdiff1d(s[1], s[0])) for s in sample if s[1] is not None]
+        self.gone = _rows([np.asarray(a, dtype=np.int32) for a, _ in pairs], places)
+        self.new = _rows([np.asarray(b, dtype=np.int32) for _, b in pairs], places)
+        self.balance = np.where(self.y == 1, 0.5 / self.y.sum(), 0.5 / (1 - self.y).sum())
+        self.l2, self.pull, self.width = l2, 2 * counterfactual / max(1, len(pairs)), len(places)
+
+    def restrict(self, columns: np.ndarray) -> Loss:
+        """The loss of these columns and the bias only."""
+        out = copy.copy(self)
+        out.x, out.gone, out.new, out.width = (*(m.restrict(columns) for m in (self.x, self.gone, self.new)), len(columns))
+        return out
+
+    def change(self, w: np.ndarray) -> np.ndarray:
+        """By how much each counterfactual moves its text's logit."""
+        return self.gone.times(w) - self.new.times(w)
+
+    def value(self, wb: np.ndarray) -> float:
+        w, z = wb[:-1], self.x.times(wb[:-1]) + wb[-1]
+        return float((self.balance * (np.logaddexp(0, z) - self.y * z)).sum() + self.l2 / 2 * (w @ w) + self.pull / 2 * (self.change(w) ** 2).sum())
+
+    def _gather(self, w: np.ndarray, by_row: np.ndarray) -> np.ndarray:
+        pull = self.change(w) * self.pull
+        return np.append(self.x.back(by_row) + self.l2 * w + self.gone.back(pull) - self.new.back(pull), by_row.sum())
+
+    def gradient(self, wb: np.ndarray) -> np.ndarray:
+        z = self.x.times(wb[:-1]) + wb[-1]
+        return self._gather(wb[:-1], self.balance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - self.y))
+
+    def curvature(self, v: np.ndarray) -> np.ndarray:
+        """The second derivative with the logistic's slope at its largest, a quarter, times `v`."""
+        return self._gather(v[:-1], 0.25 * self.balance * (self.x.times(v[:-1]) + v[-1]))
+
+    def diagonal(self) -> np.ndarray:
+        both = np.full(self.gone.height, self.pull)
+        return np.append(0.25 * self.x.back(self.balance) + self.l2 + self.gone.back(both) + self.new.back(both), 0.25)
+
+
+def fit(sample: list[tuple[np.ndarray, np.ndarray | None, int]], l1: float = L1, l2: float = L2, counterfactual: float = COUNTERFACTUAL) -> Model:
+    """Fit on (places, places of the counterfactual or None, label): the minimum of Loss plus l1 |w|_1.
+
+    With one class only, or no row, the score is that class's smoothed share.
     """
     y = np.array([s[2] for s in sample], dtype=float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model({}, float(np.log(share / (1 - share))))
-    lists = [np.asarray(s[0], dtype=np.int32) for s in sample]
-    places, seen = np.unique(np.concatenate(lists), return_counts=True)
+    places, seen = np.unique(np.concatenate([np.asarray(s[0], dtype=np.int32) for s in sample]), return_counts=True)
     places = places[seen >= 2]  # a feature of one row only can't generalise
-    n, d = len(y), len(places)
-    r, c = _rows(lists, places)
-    pairs = [(np.setdiff1d(s[0], s[1]), np.setdiff1d(s[1], s[0])) for s in sample if s[1] is not None]
-    gone_r, gone_c = _rows([np.asarray(a, dtype=np.int32) for a, _ in pairs], places)
-    new_r, new_c = _rows([np.asarray(b, dtype=np.int32) for _, b in pairs], places)
-    balance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
-
-    def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
-        z = np.bincount(r, w[c], n) + b
-        g = balance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-        grad = np.bincount(c, g[r], d) + l2 * w
-        if pairs:
-            change = np.bincount(gone_r, w[gone_c], len(pairs)) - np.bincount(new_r, w[new_c], len(pairs))
-            change = change * (2 * counterfactual / len(pairs))
-            grad += np.bincount(gone_c, change[gone_r], d) - np.bincount(new_c, change[new_r], d)
-        return grad, g.sum()
-
-    # each place takes its own step, from a bound of its curvature
-    widths = np.bincount(r, minlength=n)
-    step = 1 / (0.25 * np.bincount(c, (balance * np.sqrt(widths))[r], d) * np.sqrt(np.bincount(r, minlength=n).max()) / 8 + l2 + 1e-3)
-    if pairs:
-        step /= 1 + counterfactual
-    w, b, lead, lead_b, t = np.zeros(d), 0.0, np.zeros(d), 0.0, 1.0
-    before = np.inf
-    for _ in range(rounds):
-        g, gb = gradient(lead, lead_b)
-        new = lead - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        new_b = lead_b - gb
-        z = np.bincount(r, new[c], n) + new_b
-        loss = float((balance * (np.logaddexp(0, z) - y * z)).sum() + l1 * np.abs(new).sum())
-        if loss > before:  # restart the momentum with shorter steps
-            step, lead, lead_b, t = step / 2, w, b, 1.0
-            before = loss if t > 1 else np.inf
-            continue
-        before = loss
-        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        lead, lead_b = new + (t - 1) / t_next * (new - w), new_b + (t - 1) / t_next * (new_b - b)
-        w, b, t = new, new_b, t_next
-    z = np.bincount(r, w[c], n) + b
-    b += _centre(z, y)
+    loss = Loss(sample, places, l2, counterfactual)
+    wb = sparse(loss, l1)
+    w = wb[:-1]
+    b = wb[-1] + _centre(loss.x.times(w) + wb[-1], y)
     return Model({int(places[i]): float(w[i]) for i in np.flatnonzero(w)}, float(b))
 
 
@@ -163,7 +176,9 @@ def _centre(z: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Learn `labels.toxic` from at most `per_class` rows of each class outside the held-out fold.
 
-    Features are computed where the texts are; the driver gets the sample's hashed places only.
+    Features are computed where the texts are; the driver gets the sample's hashed places only, which the
+    sample's bound of rows and bytes bounds. Null texts are empty; without labels, or with labels of one
+    class, the model is a constant; how often an id is repeated doesn't matter.
     """
     terms = {w for group in IDENTITY_TERMS for w in group}
 
