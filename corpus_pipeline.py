@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import linechunks, neardup, packing, quality, toxicity
-from weftline.llm.common import durable, made, release, table
+from weftline.llm.common import collecting, durable, fresh, release, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +31,24 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows that repeat an id are one document.
+    """One document of each group of near copies: the one of the smallest id.
 
-    Near copies share 0.8 of their five-word shingles; two words are the contract of op5 alone.
+    Near copies share 0.8 of their five-word shingles; two words are the contract of op5 alone. Rows that
+    repeat id and text are one document, of which one row stays; a document without an id is known by its
+    text, and stays only where its group has no member with an id. Documents without a word have no copies.
     """
-    keys = neardup.find(docs, percent=80, width=5).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(durable(keys, "kept"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    key, twin, kept = fresh(docs, "__key", "__twin", "__kept")
+    text = F.coalesce("text", F.lit(""))
+    # ids of documents without one: the text's hash, above all real ids that a count could reach
+    named = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))))
+    found = neardup.find(named.select(key, "text"), percent=80, width=5, id_col=key)
+    keys = durable(found.where("kept").groupBy(F.col("doc_id").alias(kept)).agg(F.count("*").alias(twin)), "kept")
+    rows = named.join(keys, F.col(key) == F.col(kept), "left_semi").select(*docs.columns, key)
+    # rows of a key that has several: one of each text
+    several = keys.where(F.col(twin) > 1).select(kept)
+    alone = rows.join(several, F.col(key) == F.col(kept), "left_anti")
+    once = rows.join(several, F.col(key) == F.col(kept), "left_semi").dropDuplicates([key, "text"])
+    return alone.unionByName(once).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +70,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; the rows of the last one."""
-    docs, first = table(spark, sf_dir, "documents"), made()
+    docs, before = table(spark, sf_dir, "documents"), []
     for i, (_, stage) in enumerate(STAGES):
-        docs = durable(stage(spark, docs, sf_dir), f"stage{i}")
-        release(spark, first, made() - 1)  # what the stage wrote on its way, and its input
-        first = made() - 1
+        with collecting() as paths:
+            docs = durable(stage(spark, docs, sf_dir), f"stage{i}")
+        release(spark, before + paths[:-1])  # the stage's input, and what it wrote on its way
+        before = paths[-1:]
     return docs
