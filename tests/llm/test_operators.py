@@ -520,3 +520,77 @@ def test_ranker_fits_its_pairs():
     whole = quality._grams("é日本🎉" * 400_000)  # more than a chunk
     codes = [ord(c) for c in "é日本🎉" * 400_000]
     assert whole.sum() == len(codes) - 2 and (quality._grams("é日本🎉" * 3)[whole == 0] == 0).all()
+
+
+@pytest.fixture(scope="module")
+def cloud():
+    """Vectors without structure, the hardest case of a search by lists, and their queries."""
+    r = np.random.default_rng(12)
+    x = r.standard_normal((6000, 32)).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_recall_on_thousands_of_vectors(spark, cloud):
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(cloud)], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in ann.search(vectors, vectors.where("vec_id % 20 = 0")).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(0, 6000, 20):
+        s = cloud.astype(float) @ cloud[q].astype(float)
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:20]))
+    assert hits >= 0.9 * 20 * 300
+
+
+def lists_of(x, count):
+    means = ann.centroids(x.astype(float), count)
+    return means, ann.nearest(x.astype(float), means, 1)[:, 0]
+
+
+def test_answers_come_from_the_scan(cloud, monkeypatch):
+    x = cloud.astype(float)
+    _, lists = lists_of(cloud, 8)
+    ids, q = np.arange(len(x)), x[:40]
+    ask = lambda: ann.answers(lists, ids, x, 1.0, ids[:40], q, [np.array([1, 3, 5])] * 40, np.full(40, -np.inf), 20, ann.rotation(33))
+    row, col, score = ask()
+    inside = np.flatnonzero(np.isin(lists, [1, 3, 5]))
+    hits = 0
+    for i in range(40):
+        s = x[inside] @ q[i]
+        s[inside == i] = -np.inf
+        hits += len(set(col[row == i]) & set(inside[np.argsort(-s)[:20]]))
+        assert np.allclose(score[row == i], x[col[row == i]] @ q[i])
+    assert hits >= 0.97 * 800  # what the tests abandon by chance
+    monkeypatch.setattr(ann, "scan", lambda *a: (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
+    assert not len(ask()[0])
+
+
+def test_scan_abandons_most_candidates_early(cloud, monkeypatch):
+    """With a bound, exact scores are computed for few pairs only, and none within the bound is lost but by chance."""
+    x, ids, q = cloud.astype(float), np.arange(6000), cloud[:50].astype(float)
+    s = x @ q.T
+    s[np.arange(50), np.arange(50)] = -np.inf
+    floor = np.sort(s, axis=0)[-20]
+    row, col, _ = ann.scan(ids, x, 1.0, ids[:50], q, 20, ann.rotation(33), floor)
+    want = {(i, int(c)) for i in range(50) for c in np.argsort(-s[:, i])[:20]}
+    assert len(want & set(zip(row.tolist(), col.tolist()))) >= 0.95 * len(want)
+
+
+def test_layout_cuts_large_lists_and_fills_blocks():
+    r = np.random.default_rng(1)
+    sizes = np.array([0, 5, 9000, 100, 300, 999, 1, 2500, 700])
+    first, parts = ann.layout(r.standard_normal((9, 4)), sizes, 1000)
+    assert list(parts) == [1, 1, 9, 1, 1, 1, 1, 3, 1]
+    held = collections.Counter()
+    for a, n, size in zip(first, parts, sizes):
+        for b in range(n):
+            held[a + b] += size / n
+    assert max(held.values()) <= 1000
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0]), (2, [0.5, 2.0]), (3, [0.0, 0.0, 3.0]), (20, [1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in sorted(ann.search(vectors, vectors.where("vec_id = 20")).collect(), key=lambda r: r["rank"])]
+    assert got == [(1, 2, 2.5), (2, 1, 1.0), (3, 3, 0.0)]

@@ -7,8 +7,9 @@ Within a probed list the rotated columns are scanned block by block: after d of
 abandoned when its partial distance, scaled to D columns, exceeds the current k-th distance by more than
 chance allows. Those left are scored exactly on the original vectors.
 
-Lists are cut into blocks of bounded size and the queries that probe a list into groups of bounded size,
-so a list that holds a third of all vectors is many small cells rather than one task.
+Lists lie side by side in blocks of bounded size, near ones together, and a query goes once to a block in
+which it probes a list; a list too large for a block is cut. A query's nearest lists are scanned first, and
+what they give bounds the scan of the others.
 """
 
 from __future__ import annotations
@@ -22,16 +23,17 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import durable
 
-#: Vectors that the centroids are fitted on, at most, and centroids, at most: what the driver holds.
+#: Vectors that the centroids are fitted on, about, and centroids, at most: what the driver holds.
 SAMPLE = 20_000
 CENTROIDS = 1024
-#: Vectors in a block and queries in a group.
-BLOCK, GROUP = 1024, 512
-#: Vectors of the sample that give a query its first answers, and lists that give it the next ones: both
-#: tighten what the other lists are scanned with.
-ANCHORS, HOME = 1024, 3
+#: Bytes of vectors in a block, and of queries in a group, at most: what a task holds of either.
+CELL_BYTES = 64_000_000
+#: A block isn't cut below so many vectors for the sake of parallel work.
+LEAST_BLOCK = 4096
+#: Lists that give a query its first answers, which bound the scan of the others.
+HOME = 3
 #: Share of the lists that a query probes, nearest first; the measured recall decides it (see README).
-PROBE = 0.85
+PROBE = 0.8
 #: Columns scanned between two tests, and the test's confidence in deviations of a partial distance.
 COLUMNS = 16
 CONFIDENCE = 2.1
@@ -60,50 +62,50 @@ def centroids(sample: np.ndarray, lists: int) -> np.ndarray:
 def nearest(x: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
     """The k nearest centroids of each row, nearest first; ties to the smaller number."""
     d = (c * c).sum(axis=1)[None, :] - 2 * (x @ c.T)
-    return np.argsort(d, axis=1, kind="stable")[:, :k]
+    return d.argmin(axis=1)[:, None] if k == 1 else np.argsort(d, axis=1, kind="stable")[:, :k]
 
 
-def seeds(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, anchors: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Each query's best anchors with their scores, and the k-th of these (minus infinity without).
-
-    Anchors are candidates too, so no query's k-th score is lower, and whatever the tests abandon, a query
-    has these answers.
-    """
-    near, scores = [], []
-    floor = np.full(len(q), -np.inf)
-    for i in range(len(q)):
-        s = (anchors * q[i]).sum(axis=1)
-        s[ids == q_ids[i]] = -np.inf
-        best = np.lexsort((ids, -s))[:k]
-        best = best[np.isfinite(s[best])]
-        if len(best) == k:
-            floor[i] = s[best[-1]]
-        near.append(ids[best])
-        scores.append(s[best])
-    return floor, near, scores
+def layout(means: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, blocks) of each list: near lists share a block of about `most` vectors, large ones have several."""
+    first, parts = np.zeros(len(sizes), dtype=np.int64), np.maximum(1, -(-sizes // most))
+    left, at, block, held = set(range(len(sizes))), 0, 0, 0
+    while left:
+        if parts[at] > 1 or held + sizes[at] > most:  # a block of its own, or the next one
+            block, held = block + bool(held), 0
+        first[at] = block
+        held += sizes[at]
+        if parts[at] > 1:
+            block, held = block + parts[at], 0
+        left.discard(at)
+        if left:  # on to the nearest list without a place
+            rest = np.fromiter(sorted(left), dtype=np.int64)
+            at = int(rest[((means[rest] - means[at]) ** 2).sum(axis=1).argmin()])
+    return first, parts
 
 
 def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.ndarray, k: int, turn: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, candidate position, inner product) of each query's best k ids in one block.
 
     `norm2` is the square of the common norm after the added dimension, `floor` a score that a query's
-    k-th answer reaches: what is further away than that isn't returned. Column blocks are taken as matrix products while most pairs are alive, and
-    pair by pair once the tests have left few.
+    k-th answer reaches: what is further away than that isn't returned. Column blocks are taken as matrix
+    products while most pairs are alive, and pair by pair once the tests have left few.
     """
     width = x.shape[1] + 1
     lift = np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))
-    xr = np.concatenate([x, lift[:, None]], axis=1) @ turn
-    qr = np.concatenate([q, np.zeros((len(q), 1))], axis=1) @ turn
+    xr = (np.concatenate([x, lift[:, None]], axis=1) @ turn).astype(np.float32)
+    qr = (np.concatenate([q, np.zeros((len(q), 1))], axis=1) @ turn).astype(np.float32)
     edges = [*range(0, width, COLUMNS), width]
-    bound = ((q * q).sum(axis=1) + norm2 - 2 * floor) * (1 + 1e-9) + 1e-9
+    size = (q * q).sum(axis=1) + norm2
+    # distances are scanned in single precision, so the bound leaves room for its rounding
+    bound = (size - 2 * floor + 1e-5 * size).astype(np.float32)
     several = len(np.unique(ids)) < len(ids)  # an id with several vectors answers once, by the best
     out = []
     for at in range(0, len(q), 128):
         some = slice(at, min(at + 128, len(q)))
         y, limit = qr[some], bound[some]
-        dense, row, col, part = np.zeros((len(y), len(x))), None, None, None
+        dense, row, col, part = np.zeros((len(y), len(x)), dtype=np.float32), None, None, None
         for a, b in zip(edges, edges[1:]):
-            reach = limit * (1 + CONFIDENCE / np.sqrt(b)) ** 2 * (b / width) if b < width else limit * (1 + 1e-9)
+            reach = limit * np.float32((1 + CONFIDENCE / np.sqrt(b)) ** 2 * (b / width)) if b < width else limit
             if row is None:
                 dense += (y[:, a:b] ** 2).sum(axis=1)[:, None] + (xr[:, a:b] ** 2).sum(axis=1)[None, :] - 2 * (y[:, a:b] @ xr[:, a:b].T)
                 alive = dense <= reach[:, None]
@@ -127,7 +129,7 @@ def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.
             worst = np.full(len(y), -np.inf)
             has = last >= first
             worst[has] = part[order][last[has]]
-            keep = part <= worst[row - at] + 1e-9 * norm2
+            keep = part <= worst[row - at] + 2e-5 * size[row]
             row, col = row[keep], col[keep]
         score = np.empty(len(row))
         for c in range(0, len(row), 65_536):
@@ -143,13 +145,45 @@ def scan(ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _array(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), dtype=np.float64).reshape(len(packed), -1)
+def answers(lists: np.ndarray, ids: np.ndarray, x: np.ndarray, norm2: float, q_ids: np.ndarray, q: np.ndarray, probes: list[np.ndarray], floor: np.ndarray, k: int, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, candidate position, inner product): each query's best in the lists it probes here.
+
+    List after list is scanned by the queries that probe it; a query's k-th answer so far bounds the next.
+    """
+    top = np.full((len(q), k), -np.inf)
+    several = len(np.unique(ids)) < len(ids)  # an id's vectors in two lists count as one answer: no bound from both
+    order = np.argsort(lists, kind="stable")
+    asked = np.repeat(np.arange(len(q)), [len(p) for p in probes])
+    by_list = np.concatenate([np.zeros(0, np.int64), *probes])
+    asked = asked[np.argsort(by_list, kind="stable")]
+    by_list = np.sort(by_list)
+    found = []
+    for one in np.unique(by_list):
+        some = order[slice(*np.searchsorted(lists[order], [one, one + 1]))]
+        who = asked[slice(*np.searchsorted(by_list, [one, one + 1]))]
+        if not len(some):
+            continue
+        row, col, score = scan(ids[some], x[some], norm2, q_ids[who], q[who], k, turn, np.maximum(floor[who], top[who, 0]))
+        found.append((who[row], some[col], score))
+        if not several:
+            new = np.full((len(who), k), -np.inf)
+            new[row, np.arange(len(row)) - np.searchsorted(row, row)] = score
+            top[who] = np.sort(np.concatenate([top[who], new], axis=1), axis=1)[:, k:]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    row, col, score = (np.concatenate(c) for c in zip(*found, strict=True))
+    keep = score >= top[row, 0]
+    return row[keep], col[keep], score[keep]
+
+
+def _array(packed, kind: str, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), dtype=kind).reshape(len(packed), width).astype(np.float64)
 
 
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, vector) of those that take part: not null, not zero, all components finite."""
-    v = F.col(vector_col).cast("array<double>")
+    kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
+    v = F.col(vector_col).cast(f"array<{kind}>")
     bad = lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))
     fine = F.col(id_col).isNotNull() & v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda e: e != 0)
     return vectors.where(fine).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector"))
@@ -161,73 +195,100 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probe: float = P
     Scores are computed in double precision on the original vectors; ties go to the smaller vec_id. Rows
     whose vector or id is null, and vectors that are zero or not finite, take no part, on either side. A
     row never answers its own id; rows that repeat an id and its vector count once, and of several vectors
-    of one id the best is that id's answer. Vectors must agree in length with the shortest-sorted first
-    sample row; others take no part. Tables without a vector give no rows.
+    of one id the best is that id's answer. A vector shorter than the longest counts as zero beyond its
+    end. Tables without a vector give no rows.
     """
     spark = vectors.sparkSession
-    table = durable(valid(vectors, id_col, vector_col), "vectors")
-    sample = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # bounded
-    if not len(sample):
+    table, asked = valid(vectors, id_col, vector_col), valid(queries, id_col, vector_col)
+    square = F.aggregate("vector", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))
+    figures = table.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width"), F.max(square).alias("norm2")).first()
+    wide = asked.agg(F.max(F.size("vector")).alias("width"), F.count("*").alias("n")).first()
+    if not figures["n"] or not wide["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = len(sample["vector"].iloc[0])
-    table = table.where(F.size("vector") == width)
-    lengths = table.agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, e: s + e * e)).alias("m")).first()
-    x = np.stack([np.asarray(v, float) for v in sample["vector"] if len(v) == width])
-    lists = int(min(CENTROIDS, max(1, round(lengths["n"] ** 0.5 / 3))))
-    norm2 = float(lengths["m"]) * (1 + 1e-12)
-    lifted = np.concatenate([x, np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
-    means = spark.sparkContext.broadcast(centroids(lifted, lists))  # CENTROIDS rows at most
-    one = sample[[len(v) == width for v in sample["vector"]]].drop_duplicates("vec_id").head(ANCHORS)
-    anchors = spark.sparkContext.broadcast((one["vec_id"].to_numpy(), np.stack([np.asarray(v, float) for v in one["vector"]])))  # ANCHORS rows at most
-    lists = len(means.value)
-    probes = max(1, int(np.ceil(probe * lists)))
+    n, width, norm2 = figures["n"], max(figures["width"], wide["width"]), float(figures["norm2"]) * (1 + 1e-12)
+    kind = "f4" if dict(table.dtypes)["vector"] == dict(asked.dtypes)["vector"] == "array<float>" else "f8"
+
+    def matrix(column: pd.Series) -> np.ndarray:
+        out = np.zeros((len(column), width))
+        for i, v in enumerate(column):
+            out[i, : len(v)] = v
+        return out
 
-    def deal(frames: Iterator[pd.DataFrame], n: int, lift: bool) -> Iterator[pd.DataFrame]:
+    def lifted(v: np.ndarray) -> np.ndarray:
+        return np.concatenate([v, np.sqrt(np.maximum(norm2 - (v * v).sum(axis=1), 0))[:, None]], axis=1)
+
+    # ids by a hash, so many that SAMPLE are expected; the limit only holds off a freak of the hash
+    chance = F.pmod(F.xxhash64("vec_id", F.lit(_SEED)), F.lit(1 << 30)) < F.lit(min(1 << 30, -(-SAMPLE * (1 << 30) // n)))
+    sample = table.where(chance).groupBy("vec_id").agg(F.min("vector").alias("vector")).limit(2 * SAMPLE).toPandas().sort_values("vec_id")
+    if not len(sample):  # few ids with many rows each
+        sample = table.limit(1).toPandas()
+    means = centroids(lifted(matrix(sample["vector"])), int(min(CENTROIDS, max(1, round(n**0.5 / 3)))))
+    lists = len(means)
+    means_at = spark.sparkContext.broadcast(means)  # CENTROIDS rows at most
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each vector's list; rows that repeat one another within a batch are one."""
         for f in frames:
             if len(f):
-                v = np.stack([np.asarray(a, float) for a in f["vector"]])
-                last = np.sqrt(np.maximum(norm2 - (v * v).sum(axis=1), 0)) if lift else np.zeros(len(v))
-                near = nearest(np.concatenate([v, last[:, None]], axis=1), means.value, n)
-                out = {"vec_id": f["vec_id"], "data": [a.tobytes() for a in v], "lists": list(near.astype(np.int32))}
-                if not lift:
-                    out |= dict(zip(("floor", "near", "scores"), seeds(f["vec_id"].to_numpy(), v, *anchors.value, k), strict=True))
-                yield pd.DataFrame(out)
-
-    asked = valid(queries, id_col, vector_col).where(F.size("vector") == width)
-    index = table.mapInPandas(lambda f: deal(f, 1, True), "vec_id long, data binary, lists array<int>").select("vec_id", "data", F.col("lists")[0].alias("list")).dropDuplicates(["vec_id", "data"])
-    index = durable(index, "index")
-    probing = asked.mapInPandas(lambda f: deal(f, probes, False), "vec_id long, data binary, lists array<int>, floor double, near array<long>, scores array<double>")
-    probing = durable(probing, "probing")
-    seeded = probing.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("s")).select("query_id", F.col("s.near").alias("vec_id"), F.col("s.scores").alias("score"))
-    # how many blocks each list has: one row for each of at most CENTROIDS lists
-    blocks = durable(index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+                v = matrix(f["vector"])
+                out = pd.DataFrame({"vec_id": f["vec_id"], "list": nearest(lifted(v), means_at.value, 1)[:, 0].astype(np.int32), "data": [a.tobytes() for a in v.astype(kind)]})
+                yield out.drop_duplicates(["vec_id", "data"])
+
+    index = durable(table.mapInPandas(place, "vec_id long, list int, data binary"), "index")
+    sizes = np.zeros(lists, dtype=np.int64)
+    for r in index.groupBy("list").count().collect():  # CENTROIDS rows at most
+        sizes[r["list"]] = r["count"]
+    each = max(1, CELL_BYTES // (width * np.dtype(kind).itemsize))
+    parallel = max(LEAST_BLOCK, -(-n // (2 * spark.sparkContext.defaultParallelism)))
+    first, parts = layout(means, sizes, min(each, parallel))
+    groups = -(-wide["n"] // each)
+    probes = max(1, int(np.ceil(probe * lists)))
     turn = rotation(width + 1)
 
+    def go(frames: Iterator[pd.DataFrame], since: int, upto: int) -> Iterator[pd.DataFrame]:
+        """A row for each block in which a query probes a list; a list that is cut is probed in each part."""
+        for f in frames:
+            if not len(f):
+                continue
+            v = matrix(f["vector"])
+            near = nearest(np.concatenate([v, np.zeros((len(v), 1))], axis=1), means_at.value, probes)[:, since:upto]
+            rows = []
+            for i, (own, data) in enumerate(zip(near, v.astype(kind))):
+                own = own[sizes[own] > 0]
+                for block in np.unique(first[own]):
+                    here = own[first[own] == block].astype(np.int64)
+                    for part in range(int(parts[here].max())):
+                        rows.append((i, int(block) + part, data.tobytes(), here.tobytes()))
+            at = [r[0] for r in rows]
+            yield pd.DataFrame({"block": [r[1] for r in rows], "vec_id": f["vec_id"].to_numpy()[at], "data": [r[2] for r in rows], "floor": f["floor"].to_numpy(dtype=float)[at], "lists": [r[3] for r in rows]})
+
     def cell(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(have) or not len(ask):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, q_ids = have["vec_id"].to_numpy(), ask["vec_id"].to_numpy()
-        row, col, score = scan(ids, _array(have["data"]), norm2, q_ids, _array(ask["data"]), k, turn, ask["floor"].to_numpy())
+        own = [np.frombuffer(b, dtype=np.int64) for b in ask["lists"]]
+        row, col, score = answers(have["list"].to_numpy(), ids, _array(have["data"], kind, width), norm2, q_ids, _array(ask["data"], kind, width), own, ask["floor"].to_numpy(), k, turn)
         return pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[col], "score": score})
 
-    def probed(asking: DataFrame, label: str) -> DataFrame:
-        """(query_id, vec_id, score): the best k of every block of the lists that `asking` probes."""
-        groups = asking.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-        cells = F.broadcast(durable(blocks.join(groups, "list"), f"cells-{label}"))
-        block, group = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("groups")).cast("int")
-        left = index.join(cells, "list").select("list", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "vec_id", "data")
-        right = asking.select("vec_id", "data", "floor", F.explode("lists").alias("list")).join(cells, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), group.alias("grp"), "vec_id", "data", "floor")
-        key = ["list", "block", "grp"]
-        return durable(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(cell, "query_id long, vec_id long, score double"), label)
+    homes = F.broadcast(spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, parts))], "list int, at int, parts int"))  # CENTROIDS rows at most
+    copies = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    dealt = index.join(homes, "list").select((F.col("at") + F.pmod(F.xxhash64("vec_id", "data"), F.col("parts"))).cast("int").alias("block"), copies.alias("grp"), "vec_id", "list", "data")
+
+    def probed(asking: DataFrame, since: int, upto: int, label: str) -> DataFrame:
+        """(query_id, vec_id, score): the best k of every block in which `asking` probes lists from `since` on."""
+        sent = asking.select("vec_id", "vector", "floor").mapInPandas(lambda f: go(f, since, upto), "block int, vec_id long, data binary, floor double, lists binary")
+        sent = sent.select("block", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("grp"), "vec_id", "data", "floor", "lists")
+        key = ["block", "grp"]
+        return durable(dealt.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(cell, "query_id long, vec_id long, score double"), label)
 
     best = lambda rows: rows.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # noqa: E731  repeated rows
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each probed block at most
     top = lambda rows: best(rows).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    home = top(probed(probing.withColumn("lists", F.slice("lists", 1, HOME)), "home").unionByName(seeded)).drop("rank")
-    home = durable(home, "first-answers")
-    floors = home.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).otherwise(float("-inf")).alias("reached"))
-    rest = probing.where(F.size("lists") > HOME).join(floors, F.col("vec_id") == F.col("query_id"), "left").select(
-        "vec_id", "data", F.expr(f"slice(lists, {HOME + 1}, size(lists))").alias("lists"), F.greatest("floor", F.coalesce("reached", F.col("floor"))).alias("floor")
-    )
-    found = home.unionByName(probed(durable(rest.dropDuplicates(["vec_id", "data"]), "rest"), "others"))
+    asked = asked.dropDuplicates(["vec_id", "vector"])
+    home = durable(top(probed(asked.withColumn("floor", F.lit(float("-inf"))), 0, HOME, "home")).drop("rank"), "first-answers")
+    found = home
+    if probes > HOME:
+        reached = home.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("reached"))
+        rest = asked.join(reached, F.col("vec_id") == F.col("query_id"), "left").withColumn("floor", F.coalesce("reached", F.lit(float("-inf"))))
+        found = home.unionByName(probed(rest, HOME, probes, "others"))
     return top(found).select("query_id", "rank", "vec_id", "score")
