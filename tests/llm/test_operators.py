@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, packing, quality, toxicity, urltree
@@ -594,3 +595,52 @@ def test_vectors_of_several_lengths(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = [(r["rank"], r["vec_id"], r["score"]) for r in sorted(ann.search(vectors, vectors.where("vec_id = 20")).collect(), key=lambda r: r["rank"])]
     assert got == [(1, 2, 2.5), (2, 1, 1.0), (3, 3, 0.0)]
+
+
+def test_chunk_boundaries_by_their_definition():
+    """A chunk ends where the hash of the last two lines is even, after two lines at least, whatever their length."""
+    r = random.Random(4)
+    line = lambda: " ".join(f"w{r.randrange(10**6)}" for _ in range(r.choice([1, 5, 49, 50, 51, 300]))).encode()
+    for _ in range(20):
+        lines = [line() for _ in range(r.randrange(1, 60))]
+        ends, start = [], 0
+        for i in range(len(lines)):
+            h = [xxhash.xxh64_intdigest(x) for x in lines[max(0, i - 1) : i + 1]]
+            mixed = (h[0] * 0x9E3779B97F4A7C15 + h[1]) % 2**64 if len(h) == 2 else h[0]
+            if (mixed ^ (mixed >> 32)) % 2 == 0 and i + 1 - start >= 2:
+                ends.append(i + 1)
+                start = i + 1
+        if not ends or ends[-1] < len(lines):
+            ends.append(len(lines))
+        assert [b for _, b, _ in linechunks.chunks(lines)] == ends
+        same = [b" ".join(x.split()[:1]) for x in lines]
+        assert [ok for *_, ok in linechunks.chunks(same)] == [b - a >= 2 for a, b, _ in linechunks.chunks(same)]
+
+
+def test_long_lines_are_chunked_as_others():
+    """Lines of 49 and of 50 words in one place give chunks of one shape where their hashes agree on the cuts."""
+    shapes = collections.Counter()
+    for seed in range(400):
+        r = random.Random(seed)
+        around = [f"line {r.random()}".encode() for _ in range(6)]
+        for n in (49, 50):
+            lines = [*around[:3], " ".join(f"w{seed}.{i}" for i in range(n)).encode(), *around[3:]]
+            shapes[n, sum(b - a for a, b, _ in linechunks.chunks(lines) if a <= 3 < b)] += 1
+    assert all(shapes[49, k] and shapes[50, k] for k in (2, 3, 4)) and not shapes[50, 1]
+
+
+def test_hot_passage_and_clashing_columns(spark):
+    passage = "\n".join(" ".join(f"p{i}.{k}" for k in range(30)) for i in range(3))
+    rows = [(i, f"own {i} before\n{passage}\nown {i} after") for i in range(linechunks.HOT_ROWS + 500)]
+    docs = awkward(spark, rows).withColumns({c: F.lit(1) for c in ("__id", "__tk", "__spans", "__own", "__cut", "h1", "salt")})
+    done = linechunks.dedup(docs)
+    assert done.columns == [c for c in docs.columns if c != "removed"] + ["removed"]
+    text = {r["doc_id"]: r["text"] for r in done.collect()}
+    assert text[0] == rows[0][1] and all(text[i] == f"own {i} before\nown {i} after" for i in range(1, len(rows)))
+
+
+def test_very_long_text_loses_its_lines(spark):
+    lines = [f"line {i} of a text with very many lines" for i in range(40_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["first", *lines[100:39_000], "last"]))]
+    text = {r["doc_id"]: r["text"] for r in linechunks.dedup(awkward(spark, rows)).collect()}
+    assert text[1] == rows[0][1] and text[2] == "first\nlast"

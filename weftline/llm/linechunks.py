@@ -1,10 +1,11 @@
 """Line dedup by content-defined chunks of lines and by runs of lines of fifty words.
 
 A rolling hash over the hashes of the last lines ends a chunk wherever it falls into one of DIVISOR
-classes, so the same passage is cut alike wherever it stands. A line of LONG_WORDS words or more is a
-passage by itself and its own chunk. Where a passage is cut first depends on what stands before it, so
-the shortest runs of lines that reach LONG_WORDS words are taken too, one from every line on and one up to
-every line: any repeated passage of so many words is the union of such runs, whatever surrounds it.
+classes, so the same passage is cut alike wherever it stands; chunks of several lines that occur again go,
+of whatever length. Where a passage is cut first depends on what stands before it, so the shortest runs of
+lines that reach PASSAGE_WORDS words are taken too, one from every line on and one up to every line: any
+repeated passage of so many words is the union of such runs, whatever surrounds it and however it is
+broken into lines, be it one line or many.
 
 Chunks and runs that occur again anywhere are removed after comparing their bytes with those of the
 occurrence that stays, the one of the smallest (doc_id, text hash, position). The lines of a run that
@@ -19,21 +20,25 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import durable, slices
+from weftline.llm.common import durable, fresh, slices
 
 #: Lines that the rolling hash spans.
 WINDOW = 2
 #: A chunk ends after a line with this chance.
 DIVISOR = 2
-#: Lines in a chunk at least, unless a long line or the end of the text stops it.
+#: Lines in a chunk at least, unless the end of the text stops it.
 LEAST_LINES = 2
-#: Words that make a line a chunk of its own, and a run of lines a passage.
-LONG_WORDS = 50
+#: Words that make a run of lines a passage, wherever it stands.
+PASSAGE_WORDS = 50
+#: A hash is hot with more than one in HOT_SHARE of all rows, and with HOT_ROWS at least: so there are fewer
+#: than HOT_SHARE hot ones. Its rows are dealt to SALTS tasks.
+HOT_SHARE, HOT_ROWS, SALTS = 10_000, 1000, 64
 
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -42,7 +47,7 @@ _MASK = (1 << 64) - 1
 def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
     """(first line, line after the last, removable) of consecutive chunks that cover all lines.
 
-    Removable are long lines and chunks with at least two lines that aren't blank.
+    Removable are chunks with at least two lines that aren't blank. How long a line is makes no difference.
     """
     out: list[tuple[int, int, bool]] = []
     start, filled, recent = 0, 0, []
@@ -54,11 +59,6 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
         start, filled = at, 0
 
     for i, line in enumerate(lines):
-        if len(line) >= 2 * LONG_WORDS - 1 and len(line.split()) >= LONG_WORDS:
-            end(i)
-            out.append((i, i + 1, True))
-            start, recent = i + 1, []
-            continue
         recent = [*recent[-WINDOW + 1 :], xxhash.xxh64_intdigest(line)]
         filled += bool(line.strip())
         rolled = 0
@@ -72,7 +72,7 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
 
 
 def runs(lines: list[bytes]) -> set[tuple[int, int]]:
-    """(first line, line after the last) of the shortest runs of LONG_WORDS words from and up to each line.
+    """(first line, line after the last) of the shortest runs of PASSAGE_WORDS words from and up to each line.
 
     They begin and end with a line that isn't blank.
     """
@@ -80,20 +80,20 @@ def runs(lines: list[bytes]) -> set[tuple[int, int]]:
     out: set[tuple[int, int]] = set()
     end = total = 0
     for start, n in enumerate(words):
-        while end < len(words) and total < LONG_WORDS:
+        while end < len(words) and total < PASSAGE_WORDS:
             total += words[end]
             end += 1
-        if total < LONG_WORDS:
+        if total < PASSAGE_WORDS:
             break
         if n:
             out.add((start, end))
         total -= n
     start, total = len(words), 0
     for end in range(len(words), 0, -1):
-        while start > 0 and total < LONG_WORDS:
+        while start > 0 and total < PASSAGE_WORDS:
             start -= 1
             total += words[start]
-        if total < LONG_WORDS:
+        if total < PASSAGE_WORDS:
             break
         if words[end - 1]:
             out.add((start, end))
@@ -211,27 +211,45 @@ def _spare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, type=kind), pa.array(cut, type=kind)], names=["id", "tk", "spans", "cut"])
 
 
+def _salted(rows: DataFrame, each: DataFrame, hot: DataFrame, by: list[str]) -> DataFrame:
+    """`rows` joined with `each`, which has one row for each hash, on (h1, h2).
+
+    The rows of a hot hash are dealt to SALTS tasks by the columns `by`, and its row of `each` is there in all.
+    """
+    hot = F.broadcast(hot.select("h1", "h2", F.lit(True).alias("hot")))  # HOT_SHARE rows at most
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*by), F.lit(SALTS))).otherwise(0).cast("int")
+    left = rows.join(hot, ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = each.join(hot, ["h1", "h2"], "left").withColumn("salt", F.explode(salts)).drop("hot")
+    return left.join(right, ["h1", "h2", "salt"]).drop("salt")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tk, spans, cut): for each text with chunks or runs that occur before, their ranges of lines.
 
     Ranges of `spans` can overlap; `cut` has the same lines in ranges that don't.
 
-    `tk` is the hash of the text; id and tk name a text, so rows that repeat both are one text.
+    `tk` is the hash of the text; id and tk name a text, so rows that repeat both are one text. A null text
+    counts as empty, which has no chunk; an empty table gives no rows.
     """
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tk"), "text")
     found = durable(texts.mapInArrow(_hash_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long"), "chunks")
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("id", "tk", "a")).alias("first"), F.max(F.struct("id", "tk", "a")).alias("last")).where("NOT first <=> last").drop("last")
+    place = F.struct("id", "tk", "a")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("NOT first <=> last").drop("last")
+    first = durable(first, "repeats")
+    floor = max(HOT_ROWS, found.count() // HOT_SHARE)
+    hot = durable(first.where(F.col("n") > floor).select("h1", "h2"), "hot")
+    met = _salted(found, first.drop("n"), hot, ["id", "tk", "a"])
     wanted = (
-        found.join(first, ["h1", "h2"])
-        .select("id", "tk", "a", "b", "h1", "h2", F.struct("id", "tk", "a").eqNullSafe(F.col("first")).alias("keeper"), F.xxhash64("first.id", "first.tk", F.col("first.a") - F.col("a")).alias("source"))
+        met.select("id", "tk", "a", "b", "h1", "h2", place.eqNullSafe(F.col("first")).alias("keeper"), F.xxhash64("first.id", "first.tk", F.col("first.a") - F.col("a")).alias("source"))
         .groupBy("id", "tk").agg(F.collect_set(F.struct("a", "b", "h1", "h2", "keeper", "source")).alias("wanted"))  # a text's own chunks
     )
     w = wanted.select(F.col("id").alias("wid"), F.col("tk").alias("wtk"), "wanted")
     sides = texts.join(w, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tk") == F.col("wtk"))).select("id", "tk", "text", "wanted")
     data = durable(sides.mapInArrow(_fetch_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long, keeper boolean, source long, data binary"), "chunk-bytes")
-    kept = data.where("keeper").groupBy("h1", "h2").agg(F.min("data").alias("kept"))
-    same = data.where("NOT keeper").join(kept, ["h1", "h2"]).where(F.col("data") == F.col("kept"))
+    kept = durable(data.where("keeper").groupBy("h1", "h2").agg(F.min("data").alias("kept")), "kept-bytes")
+    same = _salted(data.where("NOT keeper"), kept, hot, ["id", "tk", "a"]).where(F.col("data") == F.col("kept"))
     ranges = same.select("id", "tk", "a", "b", "source", F.lit(False).alias("keeper")).union(data.where("keeper").select("id", "tk", "a", "b", "source", "keeper"))
     of = lambda keeper: F.collect_set(F.when(F.col("keeper") == keeper, F.struct("a", "b", "source")))
     both = ranges.groupBy("id", "tk").agg(of(False).alias("spans"), of(True).alias("stays")).where(F.size("spans") > 0)
@@ -239,19 +257,38 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return both.mapInArrow(_spare, f"id {kind}, tk long, spans {span}, cut {span}").where(F.size("spans") > 0)
 
 
+def _without(texts: pd.Series, since: pd.Series, upto: pd.Series) -> pd.Series:
+    """Texts less the lines of ranges in order that don't touch."""
+
+    def one(text: str | None, a, b) -> str | None:
+        if text is None or a is None:
+            return text
+        lines, left, at = text.split("\n"), [], 0
+        for i, j in zip(a, b):
+            left += lines[at:i]
+            at = j
+        return "\n".join(left + lines[at:])
+
+    return pd.Series([one(*row) for row in zip(texts, since, upto)], dtype=object)
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with `text` less its repeated chunks and runs, and `removed`: their ranges of lines (never null).
 
     Of equal chunks or runs the first by (id, text hash, line) stays, also within one text. Ranges of
     `removed` can overlap. A null text stays
     null; texts without repeated chunks stay as they are; rows are neither added nor dropped, and rows
-    that repeat id and text fare alike. A column already called `removed` is replaced.
+    that repeat id and text fare alike. A column already called `removed` is replaced; columns of any
+    other name stay. An empty table gives no rows.
     """
-    spans = repeated(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("tk").alias("__tk"), F.col("spans").alias("__spans"), F.col("cut").alias("__cut"))
-    keyed = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tk")), "left")
-    left = F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.exists(F.col("__cut"), lambda s: (i >= s["a"]) & (i < s["b"])))
-    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    own, id_, tk, spans_, cut = fresh(docs, "__own", "__id", "__tk", "__spans", "__cut")
+    spans = repeated(docs, id_col, text_col).select(F.col("id").alias(id_), F.col("tk").alias(tk), F.col("spans").alias(spans_), F.col("cut").alias(cut))
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(tk)), "left")
+    hit = F.col(spans_).isNotNull()
+    # only texts that lose lines travel to Python
+    without = F.pandas_udf(_without, "string")
+    text = F.when(hit, without(F.when(hit, F.col(text_col)), F.col(cut)["a"], F.col(cut)["b"])).otherwise(F.col(text_col))
     none = F.array().cast("array<struct<a:int,b:int>>")
     kept = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed"]
-    return joined.select(*kept, F.coalesce(F.array_sort("__spans"), none).alias("removed"))
+    return joined.select(*kept, F.coalesce(F.array_sort(spans_), none).alias("removed"))
