@@ -24,35 +24,36 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of l ON l.do
 
 
 def path_templates() -> str:
-    """Rules and the template tree, level by level, for op6."""
+    """Rules, the template tree and its merged branches, level by level, for op6."""
     u = urltree
-    ctes = [f"""parsed AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
-split AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*', 0) AS raw, rest FROM parsed),
-t0 AS (
-  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest[length(raw) + 1:], '^[^?#]*', 0) AS path, '' AS template,
-    list_filter(string_split(regexp_extract(rest[length(raw) + 1:], '^[^?#]*', 0), '/'), lambda x: x <> '') AS all_parts FROM split
-), l0 AS (SELECT page_id, host, path, template, CASE WHEN len(all_parts) > {u.DEPTH} THEN list_append(all_parts[1:{u.DEPTH - 1}], array_to_string(all_parts[{u.DEPTH}:], '/')) ELSE all_parts END AS parts FROM t0)"""]
-    for i in range(1, u.DEPTH + 1):
-        ctes.append(f"""n{i} AS (SELECT host, template FROM (SELECT host, template, parts[{i}] AS part, count(*) AS pages FROM l{i - 1} WHERE len(parts) >= {i} GROUP BY ALL)
-  GROUP BY ALL HAVING count(*) >= {u.CHILDREN} AND sum(pages) < {u.PAGES_EACH} * count(*)),
-l{i} AS (SELECT l.page_id, l.host, l.path, CASE WHEN len(parts) < {i} THEN l.template WHEN n.host IS NOT NULL THEN l.template || '/*' || regexp_extract(parts[{i}], '(\\.[A-Za-z0-9]{{1,5}})$', 1) ELSE l.template || '/' || parts[{i}] END AS template, parts
-  FROM l{i - 1} l LEFT JOIN n{i} n ON n.host = l.host AND n.template = l.template)""")
     rules = sorted(u.RULES, key=lambda r: -len(r[1]))
     fits = lambda text: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*text.split("/", 1))
     rule = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{t}'" for _, t in rules) + " END"
     word = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{w}'" for w, t in rules) + " ELSE by_template END"
-    return f"""WITH {', '.join(ctes)},
-known AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
-counts AS (SELECT host, template, CAST(coalesce(sum(bad), 0) AS BIGINT) AS bad, count(bad) AS seen FROM l{u.DEPTH} LEFT JOIN known ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]+)[^/]*/?$', 1) AS BIGINT) GROUP BY ALL),
-sib AS (SELECT *, regexp_replace(template, '/[^/]*$', '') AS parent FROM counts),
-pool AS (SELECT *, CAST(sum(bad) OVER (PARTITION BY host, parent) AS DOUBLE) AS all_bad, CAST(sum(seen) OVER (PARTITION BY host, parent) AS DOUBLE) AS all_seen FROM sib),
-branched AS (SELECT *, CASE WHEN pow(bad * all_seen - seen * all_bad, 2) > {u.DIFFER} * (seen * all_bad * (all_seen - all_bad)) THEN template ELSE parent || '/~' END AS branch FROM pool),
-prior AS (SELECT (CAST(sum(seen) AS DOUBLE) - CAST(sum(bad) AS DOUBLE) + 1) / (CAST(sum(seen) AS DOUBLE) + 2) AS prior FROM counts),
-merged AS (SELECT host, branch, CAST(sum(bad) AS BIGINT) AS bad, CAST(sum(seen) AS BIGINT) AS seen FROM branched GROUP BY ALL),
+    return f"""WITH RECURSIVE parsed AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+split AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*', 0) AS raw, rest FROM parsed),
+page AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest[length(raw) + 1:], '^[^?#]*', 0) AS path FROM split),
+level AS (
+  SELECT page_id, host, path, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts, '' AS template, 0 AS depth FROM page
+  UNION ALL
+  SELECT page_id, host, path, parts, template || '/' || CASE WHEN children >= {u.CHILDREN} AND urls < {u.URLS_EACH} * children THEN '*' || regexp_extract(parts[depth + 1], '(\\.[A-Za-z0-9]{{1,5}})$', 1) ELSE parts[depth + 1] END, depth + 1
+  FROM (SELECT *, count(DISTINCT parts[depth + 1]) OVER node AS children, count(DISTINCT path) OVER node AS urls FROM level WHERE len(parts) > depth WINDOW node AS (PARTITION BY host, template))
+), leaf AS (SELECT * FROM level WHERE depth = len(parts)),
+known AS (SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad FROM labels GROUP BY 1),
+counts AS (SELECT host, template, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad, CAST(count(bad) AS DOUBLE) AS seen FROM leaf LEFT JOIN known ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]+)[^/]*/?$', 1) AS BIGINT) GROUP BY ALL),
+grown AS (
+  SELECT host, template, bad, seen, list_filter(string_split(template, '/'), lambda x: x <> '') AS parts, '' AS branch, 0 AS depth FROM counts
+  UNION ALL
+  SELECT host, template, bad, seen, parts, branch || '/' || CASE WHEN pow(b * all_seen - s * all_bad, 2) > {u.DIFFER} * (s * all_bad * (all_seen - all_bad)) THEN parts[depth + 1] ELSE '~' END, depth + 1
+  FROM (SELECT *, sum(bad) OVER child AS b, sum(seen) OVER child AS s, sum(bad) OVER node AS all_bad, sum(seen) OVER node AS all_seen FROM grown WHERE len(parts) > depth
+    WINDOW child AS (PARTITION BY host, branch, parts[depth + 1]), node AS (PARTITION BY host, branch))
+), branched AS (SELECT * FROM grown WHERE depth = len(parts)),
+prior AS (SELECT (sum(seen) - sum(bad) + 1) / (sum(seen) + 2) AS prior FROM counts),
+merged AS (SELECT host, branch, sum(bad) AS bad, sum(seen) AS seen FROM branched GROUP BY ALL),
 found AS (SELECT b.host, b.template, b.branch, coalesce((m.seen - m.bad + {u.PRIOR_WEIGHT} * prior) / (m.seen + {u.PRIOR_WEIGHT}), 0.5) AS purity FROM branched b JOIN merged m ON m.host = b.host AND m.branch = b.branch, prior),
 judged AS (SELECT *, CASE WHEN purity >= {u.PURITY} THEN 'allow' ELSE 'block' END AS by_template FROM found)
 SELECT page_id, host, path, {rule} AS rule, {word} AS verdict, template, branch, purity
-FROM (SELECT l.page_id, l.host, l.path, j.template, j.branch, j.purity, j.by_template FROM l{u.DEPTH} l JOIN judged j ON j.host = l.host AND j.template = l.template)"""
+FROM (SELECT l.page_id, l.host, l.path, j.template, j.branch, j.purity, j.by_template FROM leaf l JOIN judged j ON j.host = l.host AND j.template = l.template)"""
 
 
 ORACLES = {"op5_hyperminhash": NEAR_DUPLICATES, "op6_path_templates": path_templates()}
