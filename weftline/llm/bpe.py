@@ -7,6 +7,8 @@ offset of every token in bytes and characters, follow from the ids alone.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import json
 import os
 from collections.abc import Iterator
@@ -17,10 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import slices
 
 #: Characters handed to the library at once, and so in a batch that leaves the worker.
 CHUNK_CHARS = 500_000
+#: Ids decoded at once, and ids in a batch of decoding, unless one row has more.
+CHUNK_IDS, BATCH_IDS = 1 << 18, 1 << 20
 
 
 def default_vocabulary() -> str:
@@ -29,6 +32,25 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def default_ranks() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@functools.cache
+def ranked(path: str):
+    """The encoder over a file of ranks: the same ids as the vocabulary's, without offsets, for counting."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def byte_of_char() -> dict[str, int]:
     """Printable bytes stand for themselves; the others take the code points from 256 on, in order."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -68,16 +90,26 @@ class Vocabulary:
         return [got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode_lists(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
-        """The bytes behind lists of ids that end at `ends`; ids outside the vocabulary stand for nothing."""
-        known = (ids >= 0) & (ids < len(self.size_of))
-        ids = np.where(known, ids, 0)
-        size = np.where(known, self.size_of[ids], np.int32(0))
-        upto = np.cumsum(size, dtype=np.int32)  # a slice of texts, whose bytes Arrow counts in 32 bits as well
-        at = np.repeat(self.start_of[ids] - (upto - size), size)
-        at += np.arange(len(at), dtype=np.int32)
-        data = self.all_bytes[at]
-        bounds = np.concatenate([[0], np.concatenate([[0], upto])[ends]]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        """The bytes behind lists of ids that end at `ends`; ids outside the vocabulary stand for nothing.
+
+        All of them together are below 2 GB, which Arrow's binary columns hold; `_by_ids` cuts batches so.
+        """
+        parts, sizes = [], []
+        for some in (ids[at : at + CHUNK_IDS] for at in range(0, len(ids), CHUNK_IDS)):
+            known = (some >= 0) & (some < len(self.size_of))
+            some = np.where(known, some, 0)
+            size = np.where(known, self.size_of[some], np.int32(0))
+            upto = np.cumsum(size, dtype=np.int32)  # CHUNK_IDS tokens: far below 2 GB
+            at = np.repeat(self.start_of[some] - (upto - size), size)
+            at += np.arange(len(at), dtype=np.int32)
+            parts.append(self.all_bytes[at])
+            sizes.append(size)
+        upto = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]), dtype=np.int64)
+        bounds = upto[np.concatenate([[0], ends])]
+        if bounds[-1] >= 1 << 31:
+            raise ValueError("more than 2 GB of bytes in one batch")
+        data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
 
     def decode_bytes(self, ids) -> bytes:
         return self.decode_lists(np.array([i for i in ids if i is not None], dtype=np.int64), np.array([sum(i is not None for i in ids)]))[0].as_py()
@@ -155,11 +187,25 @@ def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False
     return source.mapInArrow(run, f"doc_id {kind}, ids array<int>{more}")
 
 
+def _by_ids(batches: Iterator[pa.RecordBatch], column: str = "ids") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of BATCH_IDS ids at most, or of one row, with their ids (null: -1) and where each row's end."""
+    for batch in batches:
+        place = batch.schema.get_field_index(column)
+        counts = np.nan_to_num(pc.list_value_length(batch.column(place)).to_numpy(zero_copy_only=False)).astype(np.int64)
+        ends, at = np.cumsum(counts), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + BATCH_IDS, side="right")))
+            part = batch.slice(at, upto - at)
+            yield part, pc.fill_null(part.column(place).flatten(), -1).to_numpy(zero_copy_only=False), ends[at:upto] - before
+            at = upto
+
+
 def decode(encoded: DataFrame, vocabulary: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """`encoded` (an `ids` column) with `raw` (binary) and, for reading, `decoded` left to the caller.
 
     `raw` holds the exact bytes, also where a token ends inside a character; `keep` names the other
-    columns that stay (default: all). Null ids give empty bytes.
+    columns that stay (default: all). Null ids give empty bytes. An empty table gives no rows.
     """
     path = vocabulary or default_vocabulary()
     kept = [c for c in (keep if keep is not None else encoded.columns) if c != "raw"]
@@ -167,23 +213,38 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, keep: list[str] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary.load(path)
-        for batch in slices(batches, 200):
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            counts = np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64)
-            flat = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False)
-            raw = words.decode_lists(flat, np.cumsum(counts))
+        for batch, ids, ends in _by_ids(batches):
+            raw = words.decode_lists(ids, ends)
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in kept] + [raw], names=[*kept, "raw"])
 
     needed = [*kept, *([] if "ids" in kept else ["ids"])]
     return encoded.select(*needed).mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 of each encoded document."""
-    listed = encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return decode(listed, keep=["doc_id", "n_tokens", "ids_sha256"]).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("raw"), 256).alias("decoded_sha256"))
+def digests(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, offsets_sha256) of encoded rows; ids are decoded here.
+
+    The last one hashes byte_start, char_start and char_end, one after the other, as 32-bit little-endian
+    numbers; it is null where `encoded` has no offsets. Rows stay one to one; null ids count as none.
+    """
+    path = vocabulary or default_vocabulary()
+    spans = [c for c in ("byte_start", "char_start", "char_end") if c in encoded.columns]
+    kind = dict(encoded.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Vocabulary.load(path)
+        for batch, ids, ends in _by_ids(batches):
+            raw = words.decode_lists(ids, ends)
+            bounds = np.concatenate([[0], ends])
+            written = [hashlib.sha256(" ".join(map(str, ids[a:b].tolist())).encode()).hexdigest() for a, b in zip(bounds, ends)]
+            decoded = [hashlib.sha256(memoryview(x.as_buffer())).hexdigest() for x in raw]
+            places = [None] * batch.num_rows
+            if len(spans) == 3:
+                flat = [batch.column(batch.schema.get_field_index(c)).flatten().to_numpy().astype("<i4") for c in spans]
+                places = [hashlib.sha256(b"".join(f[a:b].tobytes() for f in flat)).hexdigest() for a, b in zip(bounds, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(np.diff(bounds)), pa.array(written), pa.array(decoded), pa.array(places, type=pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256"],
+            )
+
+    return encoded.select("doc_id", "ids", *spans).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string")
