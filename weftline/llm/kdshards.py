@@ -9,6 +9,7 @@ more than there are shards, comes to the driver.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,11 +19,14 @@ from weftline.llm.common import durable
 
 #: Bins of a pass, for each open node.
 BINS = 4096
-#: A key has the dimension's place in its high bits and a hash that breaks ties in its low 32.
+#: A key has the dimension's place in its high bits and a hash of id and text that breaks ties in its low 32.
 PLACES = 1 << 20
 
-#: The dimensions: size on a log scale, source and language by hash, id by order of arrival.
-DIMENSIONS = ("by_size", "by_source", "by_lang", "by_id")
+#: The dimensions: size and length on log scales, id, source and language in the order of their values. Each is
+#: scaled to the table's own range, so that widths compare.
+DIMENSIONS = ("by_size", "by_source", "by_id", "by_lang", "by_chars")
+#: Bytes of a text, after those that all of its column share, that its place comes from.
+TEXT_BYTES = 6
 
 
 @dataclass
@@ -48,23 +52,56 @@ def _leaf(node: Node) -> Column:
     return F.when(F.col(node.dimension) <= node.cut, _leaf(node.left)).otherwise(_leaf(node.right))
 
 
+def _scaled(value: Column, low: int | None, high: int | None) -> Column:
+    """The place of a number in the range from `low` to `high`; null takes the first."""
+    if low is None or low == high:
+        return F.lit(0).cast("long")
+    share = (value.cast("double") - float(low)) / (float(high) - float(low))
+    return F.coalesce(F.least(F.greatest(F.floor(share * (PLACES - 1)), F.lit(0)), F.lit(PLACES - 1)).cast("long"), F.lit(0).cast("long"))
+
+
+def _octaves(n: Column) -> Column:
+    """A whole number above 0 on a log scale: its octave and the place within it."""
+    bits = F.length(F.bin(n))
+    return (bits * (1 << 14)).cast("long") + F.floor(n.cast("double") * (1 << 14) / F.pow(F.lit(2.0), bits)).cast("long")
+
+
+def _text_number(raw: Column, shared: int) -> Column:
+    """Bytes of a text after the first `shared`, as a number in the texts' order."""
+    return F.conv(F.rpad(F.hex(F.substring(raw, shared + 1, TEXT_BYTES)), 2 * TEXT_BYTES, "0"), 16, 10).cast("long")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32 and a 52-bit key for each dimension)."""
+    """(doc_id, size, text_crc32 and a 52-bit key for each dimension) of every row.
+
+    Null texts, sources and languages count as empty, null ids and lengths as the least; a column of
+    metadata that `docs` lacks is null. An empty table gives no rows.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
+    have = lambda c, kind: (F.col(c) if c in docs.columns else F.lit(None)).cast(kind)
+    raw = lambda c: F.encode(F.coalesce(have(c, "string"), F.lit("")), "UTF-8")
     size = (F.octet_length(text) + 16).cast("long")
-    rows = docs.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
-    tie = F.crc32(F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_crc32").cast("string"), F.lit("kd")))
-    place = {
-        "by_size": F.expr(f"length(bin(size)) * {PLACES // 64} + (size * {PLACES // 64}) div shiftleft(1L, length(bin(size)))"),
-        "by_source": F.crc32(F.coalesce("source", F.lit(""))) % PLACES,
-        "by_lang": F.crc32(F.coalesce("lang", F.lit(""))) % PLACES,
-        "by_id": F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % PLACES,
-    }
-    return rows.select("doc_id", "size", "text_crc32", *((place[d] * (1 << 32) + tie).cast("long").alias(d) for d in DIMENSIONS))
+    tie = F.crc32(F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.crc32(text).cast("string"), F.lit("kd")))
+    chars = F.greatest(F.coalesce(have("n_chars", "long"), F.lit(0)), F.lit(0)) + 1
+    rows = docs.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), tie.alias("tie"), raw("source").alias("source"), raw("lang").alias("lang"), _octaves(size).alias("octave"), _octaves(chars).alias("chars"))
+    rows = durable(rows, "metadata")
+    number = F.col("doc_id").try_cast("double")
+    span = {"octave": "octave", "chars": "chars", "id": number, "source": "source", "lang": "lang"}
+    ends = rows.agg(*(f(c).alias(f"{name}_{k}") for k, c in span.items() for name, f in (("min", F.min), ("max", F.max)))).first()  # one row
+    place = {"by_size": _scaled(F.col("octave"), ends["min_octave"], ends["max_octave"]), "by_chars": _scaled(F.col("chars"), ends["min_chars"], ends["max_chars"]), "by_id": _scaled(number, ends["min_id"], ends["max_id"])}
+    for k in ("source", "lang"):
+        low, high = (bytes(ends[f"{name}_{k}"] or b"") for name in ("min", "max"))
+        shared = len(os.path.commonprefix([low, high]))
+        edge = lambda b: int.from_bytes(b[shared : shared + TEXT_BYTES].ljust(TEXT_BYTES, b"\0"), "big")
+        place[f"by_{k}"] = _scaled(_text_number(F.col(k), shared), edge(low), edge(high))
+    return durable(rows.select("doc_id", "size", "text_crc32", *((place[d] * (1 << 32) + F.col("tie")).cast("long").alias(d) for d in DIMENSIONS)), "keyed")
 
 
 def build(rows: DataFrame, shards: int) -> Node:
-    """The tree over `rows` (size and the dimensions' keys)."""
+    """The tree over `rows` (size and the dimensions' keys); a node without rows is cut anywhere.
+
+    Rows that agree in all keys stay together, so a node of one key can leave one side empty.
+    """
     root = Node(0, shards)
     open_ = [root] if shards > 1 else []
     while open_:
@@ -94,16 +131,18 @@ def _cut(rows: DataFrame, todo: list[tuple[Node, int, int, int, int]]) -> None:
     Of each node are known its bytes, the bytes below a range of keys, and that range, where the share
     is passed.
     """
-    spark = rows.sparkSession
     while todo:
-        table = [(n.first, n.dimension, total, n.lead, n.last - n.first, below, lo, -(-(hi - lo + 1) // BINS)) for n, total, below, lo, hi in todo]
-        ranges = spark.createDataFrame(table, "node int, dimension string, total long, lead long, parts long, below long, lo long, width long")
-        key = F.coalesce(*(F.when(F.col("dimension") == d, F.col(d)) for d in DIMENSIONS))
-        inside = rows.join(F.broadcast(ranges), "node").withColumn("key", key)
-        inside = inside.withColumn("bin", F.expr("(key - lo) div width")).where(F.col("bin").between(0, BINS - 1))
-        bins = inside.groupBy("node", "bin").agg(F.sum("size").alias("bytes"), F.min("key").alias("least"), F.max("key").alias("most"), F.first("total").alias("total"), F.first("lead").alias("lead"), F.first("parts").alias("parts"), F.first("below").alias("below"))
-        running = bins.withColumn("upto", F.col("below") + F.sum("bytes").over(Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))  # BINS rows a node
-        passed = running.where(F.col("upto") * F.col("parts") > F.col("total") * F.col("lead"))
+        # a few numbers for each open node, written out in the plan as arrays by node
+        def of(value, todo=todo) -> Column:
+            known = {t[0].first: value(*t) for t in todo}
+            return F.get(F.array(*(F.lit(known.get(i)).cast("long") for i in range(max(known) + 1))), F.col("node"))
+
+        places = {"dimension": of(lambda n, *_: DIMENSIONS.index(n.dimension)), "lo": of(lambda n, total, below, lo, hi: lo), "width": of(lambda n, total, below, lo, hi: -(-(hi - lo + 1) // BINS))}
+        inside = rows.select("node", "size", *(c.alias(k) for k, c in places.items()), F.array(*DIMENSIONS).alias("keys")).withColumn("key", F.get("keys", F.col("dimension").cast("int")))
+        inside = inside.withColumn("bin", F.expr("(key - lo) div width")).where((F.col("key") >= F.col("lo")) & F.col("bin").between(0, BINS - 1))
+        bins = inside.groupBy("node", "bin").agg(F.sum("size").alias("bytes"), F.min("key").alias("least"), F.max("key").alias("most"))
+        running = bins.withColumn("upto", of(lambda n, total, below, *_: below) + F.sum("bytes").over(Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))  # BINS rows a node
+        passed = running.where(F.col("upto") * of(lambda n, *_: n.last - n.first) > of(lambda n, total, *_: total * n.lead))
         first = passed.groupBy("node").agg(F.min_by(F.struct("least", "most", (F.col("upto") - F.col("bytes")).alias("below")), "bin").alias("bin"))
         found = {r["node"]: r["bin"] for r in first.collect()}  # a row for each open node
         again = []
@@ -120,10 +159,11 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row; size is the text's bytes plus 16.
 
     A null text is empty; null metadata counts as empty. Rows that agree in all that is returned share a
-    key and so a shard. Slots count from 0 without gaps in each shard, by bucket of the id's hash, id and
+    key and so a shard. Rows of equal texts with different ids need not: a group of copies can outweigh a
+    shard, and shards of near equal bytes come first. Slots count from 0 without gaps in each shard, by bucket of the id's hash, id and
     checksum. An empty table gives no rows. Further columns are left behind.
     """
-    rows = durable(keyed(docs), "keyed")
+    rows = keyed(docs)
     tree = build(rows, shards)
     buckets = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = rows.select("doc_id", "size", "text_crc32", _leaf(tree).alias("shard"), F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)).cast("int").alias("bucket"))
