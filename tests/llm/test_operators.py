@@ -3,16 +3,18 @@
 import base64
 import collections
 import hashlib
+import itertools
 import os
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, packing, quality, toxicity, urltree
+from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, oracles, packing, quality, toxicity, urltree
 from weftline.llm.common import labelled_sample
 from weftline.llm.linear import sparse
 
@@ -102,18 +104,66 @@ def test_packing_is_best_fit_decreasing(seed):
     assert sorted(x.left for x in packing.plan(histogram, (8, 16, 32), 32) for _ in range(x.bins)) == sorted(rooms)
 
 
+def token_counts(texts):
+    """Tokens of each text by the public ranks, and an end mark."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return [len(known.encode_ordinary(t or "")) + 1 for t in texts]
+
+
 def test_packing_covers_documents(spark):
     docs = awkward(spark)
     rows = packing.pack(docs).collect()
-    got = collections.Counter()
+    got, want = collections.Counter(), collections.Counter()
     for r in rows:
         got[r["doc_id"]] += r["n_tokens"]
-    want = collections.Counter()
-    for r in docs.collect():
-        want[r["doc_id"]] += len((r["text"] or "").encode()) + 1
+    given = docs.collect()
+    for r, n in zip(given, token_counts(r["text"] for r in given)):
+        want[r["doc_id"]] += n
     assert got == want
     assert len({(r["bin_id"], r["bin_offset"]) for r in rows}) == len(rows)
     assert packing.pack(empty(spark)).count() == 0
+    ready = packing.pack(docs.withColumn("n", F.lit(10_000)), tokens="n").collect()
+    assert collections.Counter(r["n_tokens"] for r in ready) == {8192: docs.count(), 1808: docs.count()}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_openings_are_the_best_of_all(seed):
+    """Against every choice of an opening for each length, by a plain best fit over single pieces."""
+    r = random.Random(seed)
+    sizes = (8, 16, 32)
+    histogram = {n: r.randint(1, 9) for n in r.sample(range(1, 33), 4)}
+    pieces = sorted((n for n, k in histogram.items() for _ in range(k)), reverse=True)
+
+    def cost_of(opens):
+        rooms = []  # (room, size)
+        for n in pieces:
+            at = min((i for i, (room, _) in enumerate(rooms) if room >= n), key=lambda i: rooms[i][0], default=None)
+            if at is None:
+                rooms.append((opens[n] - n, opens[n]))
+            else:
+                rooms[at] = (rooms[at][0] - n, rooms[at][1])
+        return sum(packing.cost(next(s for s in sizes if s >= size - room)) for room, size in rooms)
+
+    choices = [[s for s in sizes if s >= n] for n in histogram]
+    least = min(cost_of(dict(zip(histogram, c))) for c in itertools.product(*choices))
+    assert packing.total_cost(packing.best_plan(histogram, sizes)) <= least * (1 + 1e-9)
+
+
+def test_least_cost_opening_beats_one_floor():
+    histogram = {1000: 700, 1100: 700}
+    sizes = sorted(packing.CAPACITIES)
+    floors = [packing.total_cost(packing.shrink(packing.plan(histogram, sizes, s))) for s in sizes]
+    own = packing.plan(histogram, sizes, packing.least_cost(histogram, sizes))
+    assert packing.total_cost(packing.shrink(own)) == 1_662_400 < min(floors)
+    r = random.Random(2)
+    wide = {n: r.randint(1, 30) for n in r.sample(range(1, 8193), 900)}
+    floors = [packing.total_cost(packing.shrink(packing.plan(wide, sizes, s))) for s in sizes]
+    assert packing.total_cost(packing.best_plan(wide)) <= min(floors)
 
 
 def test_toxicity_swaps_and_scores(spark):
@@ -644,3 +694,117 @@ def test_very_long_text_loses_its_lines(spark):
     rows = [(1, "\n".join(lines)), (2, "\n".join(["first", *lines[100:39_000], "last"]))]
     text = {r["doc_id"]: r["text"] for r in linechunks.dedup(awkward(spark, rows)).collect()}
     assert text[1] == rows[0][1] and text[2] == "first\nlast"
+
+
+def test_deep_paths_match_the_sql(spark):
+    """Twelve levels and more, copies of a hot url, labels that are null, a very long url, blank segments."""
+    import duckdb
+    import pandas as pd
+
+    r = random.Random(11)
+    urls = [f"http://h.net/{'/'.join(r.choice('ab') for _ in range(r.randrange(10)))}/u{r.randrange(60)}/{r.choice(['x', 'y'])}/{i}.html" for i in range(400)]
+    urls += [f"http://deep.net/{'/'.join(f's{k}' for k in range(12))}/{i}" for i in range(400, 460)] + ["http://h.net//a///b/7.html"] * 200
+    urls += [f"http://long.net/{'/'.join(['very'] * 300)}/{i}" for i in range(460, 463)] + [None, "", "http://h.net", "http://h.net/"]
+    pages = pd.DataFrame({"page_id": range(len(urls)), "url": urls})
+    labels = pd.DataFrame([(i, *r.choice([(0, 0), (1, 0), (1, 1), (None, None), (1, None), (None, 1)])) for i in range(470)] + [(3, 0, 0)], columns=["doc_id", "quality", "toxic"]).astype("Int64")
+    con = duckdb.connect()
+    con.register("pages", pages)
+    con.register("labels", labels)
+    cursor = con.execute(oracles.ORACLES["op6_path_templates"])
+    names = [c[0] for c in cursor.description]
+    want = sorted(str([round(v, 9) if isinstance(v, float) else v for v in row]) for row in cursor.fetchall())
+    known = spark.createDataFrame([(i, q, t) for i, q, t in labels.astype(object).where(labels.notna(), None).values.tolist()], "doc_id long, quality long, toxic long")
+    evidence = known.select(F.col("doc_id").alias("document"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    rows = urltree.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), evidence).collect()
+    got = sorted(str([round(row[c], 9) if isinstance(row[c], float) else row[c] for c in names]) for row in rows)
+    assert got == want
+    template = {row["page_id"]: row["template"] for row in rows}
+    assert template[400] == "/" + "/".join(f"s{k}" for k in range(12)) + "/*" and template[470].endswith("/a/b/7.html")
+
+
+def test_copies_leave_templates_alone(spark):
+    """A url that is there a thousand times doesn't turn its siblings' wildcard off."""
+    urls = [f"http://h.net/p/{i}" for i in range(20)]
+    for rows in (urls, urls + urls[:1] * 1000, urls * 5):
+        df = spark.createDataFrame([(u,) for u in rows], "url string").select(*(c.alias(n) for c, n in zip(urltree.host_and_path(F.col("url")), ("host", "path"))))
+        assert {r["template"] for r in urltree.templates(df).collect()} == {"/p/*"}
+
+
+def test_similar_branches_merge_at_every_level(spark):
+    rows = [("h", f"/{a}/{b}", bad, 40) for a, bads in (("x", (2, 3)), ("y", (3, 2)), ("z", (38, 39))) for b, bad in zip("mn", bads)]
+    got = {r["template"]: r for r in urltree.judged(spark.createDataFrame(rows, "host string, template string, bad long, seen long")).collect()}
+    assert got["/z/m"]["branch"] == "/z/~" and got["/z/m"]["verdict"] == "block"
+    merged = {got[t]["branch"] for t in ("/x/m", "/x/n", "/y/m", "/y/n")}
+    assert all(got[t]["verdict"] == "allow" for t in ("/x/m", "/y/n")) and len(merged) <= 2
+    assert urltree.judged(spark.createDataFrame([], "host string, template string, bad long, seen long")).count() == 0
+
+
+def test_flac_examples_of_the_specification():
+    """RFC 9639, appendix D: checksums of the first example, the third one read whole."""
+    assert flac.crc8(np.frombuffer(bytes.fromhex("fff869180000"), np.uint8)[None, :]).tolist() == [0xBF]
+    frame = np.frombuffer(bytes.fromhex("fff869180000bf0358fd03128b"), np.uint8)
+    assert flac.crc16(frame, np.array([0]), np.array([len(frame)])).tolist() == [0xAA9A]
+    stream = bytes.fromhex(
+        "664c614380000022100010000000" "1f00001f07d0007000000018f8f9e396f5cbcfc6dc807f9977906b32"
+        "fff868020017e944004f6f313d1047d227cb6d090831452bdc2822228057a3"
+    )
+    ((at, pcm),) = flac.decode_streams([stream])[0]
+    samples = np.frombuffer(pcm, np.uint8).astype(int) - 128
+    assert at == 0 and len(samples) == 24
+    assert hashlib.md5(samples.astype(np.int8).tobytes()).digest() == bytes.fromhex("f8f9e396f5cbcfc6dc807f9977906b32")
+
+
+def test_every_dimension_is_cut(spark):
+    """The widest dimension is taken, so one whose values alone differ is."""
+    base = {"doc_id": 1, "text": "x" * 100, "lang": "en", "source": "s", "n_chars": 100}
+    vary = {
+        "by_size": lambda i: {"text": "x" * (1 + i * 7)}, "by_chars": lambda i: {"n_chars": 1 + i * 5}, "by_id": lambda i: {"doc_id": i},
+        "by_source": lambda i: {"source": f"https://host{i:05d}"}, "by_lang": lambda i: {"lang": f"l{i % 50:02d}"},
+    }
+    for want, change in vary.items():
+        rows = [base | change(i) for i in range(400)]
+        docs = spark.createDataFrame([tuple(r.values()) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        tree = kdshards.build(kdshards.keyed(docs), 4)
+        assert tree.dimension == want and (want == "by_lang" or tree.left.dimension == want)
+    r = random.Random(1)
+    mixed = [(i, "x" * int(2 ** r.uniform(1, 9)), r.choice("abcdefgh"), r.choice("stuvwxyz"), int(2 ** r.uniform(1, 9))) for i in range(2000)]
+    tree, seen = kdshards.build(kdshards.keyed(spark.createDataFrame(mixed, "doc_id long, text string, lang string, source string, n_chars long")), 40), set()
+
+    def walk(node):
+        if node.left is not None:
+            seen.add(node.dimension)
+            walk(node.left)
+            walk(node.right)
+
+    walk(tree)
+    assert len(seen) >= 4
+
+
+def test_one_huge_row_among_shards(spark):
+    rows = [(i, "y" * 10) for i in range(300)] + [(300, "z" * 3_000_000)]
+    done = kdshards.shard(awkward(spark, rows), 8).collect()
+    by = collections.defaultdict(list)
+    for x in done:
+        by[x["shard"]].append(x["slot"])
+    assert len(done) == 301 and all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_decoding_cuts_batches_by_ids():
+    words = bpe.Vocabulary.load(bpe.default_vocabulary())
+    r = np.random.default_rng(2)
+    flat = r.integers(0, 50_000, size=3 * bpe.CHUNK_IDS + 17)
+    ends = np.array([0, 5, bpe.CHUNK_IDS + 3, len(flat)])
+    raw = words.decode_lists(flat, ends).to_pylist()
+    assert raw == [b"".join(words.bytes_of[i] for i in flat[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+    batch = pa.RecordBatch.from_arrays([pa.array([[1] * n if n is not None else None for n in (3, bpe.BATCH_IDS + 1, None, 0, 2)], type=pa.list_(pa.int32()))], names=["ids"])
+    parts = [(b.num_rows, len(i), e.tolist()) for b, i, e in bpe._by_ids([batch])]
+    assert parts == [(1, 3, [3]), (1, bpe.BATCH_IDS + 1, [bpe.BATCH_IDS + 1]), (3, 2, [0, 0, 2])]
+
+
+def test_offset_digests(spark):
+    text = "é日本 don't"
+    row = bpe.digests(bpe.encode(awkward(spark, [(1, text)]), offsets=True)).first()
+    words = bpe.Vocabulary.load(bpe.default_vocabulary())
+    spans = words.offsets(text, words.encode([text])[0])
+    assert row["offsets_sha256"] == hashlib.sha256(b"".join(np.asarray(x, "<i4").tobytes() for x in spans)).hexdigest()
+    assert bpe.digests(bpe.encode(awkward(spark, [(1, text)]))).first()["offsets_sha256"] is None

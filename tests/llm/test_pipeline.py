@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from weftline.llm import linechunks, neardup, packing, quality, toxicity
 
-from .test_operators import awkward, closure, expected_lines
+from .test_operators import awkward, closure, expected_lines, token_counts
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
@@ -87,13 +87,14 @@ def test_near_dedup_takes_five_word_shingles(spark, steps):
     assert {r["doc_id"] for r in rows(after)} == set(root.values())
 
 
-def test_packing_places_every_byte(steps):
+def test_packing_places_every_token(steps):
     _, before, after = steps[4]
     got, used = collections.Counter(), collections.Counter()
     for r in after.collect():
         got[r["doc_id"]] += r["n_tokens"]
         used[r["bin_id"], r["bin_size"]] += r["n_tokens"]
-    assert got == {r["doc_id"]: len(r["text"].encode()) + 1 for r in rows(before)}
+    given = rows(before)
+    assert got == dict(zip((r["doc_id"] for r in given), token_counts(r["text"] for r in given)))
     assert len({b for b, _ in used}) == len(used)
     assert all(size == min(c for c in packing.CAPACITIES if c >= n) for (_, size), n in used.items())
 

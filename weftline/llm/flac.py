@@ -340,9 +340,9 @@ def _decode_group(win: _Window, at: np.ndarray, n: int, kind: int) -> tuple[np.n
     for p in range(1 << split):
         count = (n >> split) - (order if p == 0 else 0)
         k = win.read(at, width)
-        if (k == (1 << width) - 1).any():
-            raise Corrupt("escaped partitions aren't read")
+        plain = k == (1 << width) - 1  # escaped: numbers of a fixed width, no Rice codes
         at = (at + width).astype(np.int64)
+        raw, k = at[plain], np.where(plain, 0, k)
         step, stops, begins = k + 1, np.empty((count, m), np.int64), np.empty((count, m), np.int64)
         nxt, last = win.next, win.end - 1
         for i in range(count):  # one code of every frame
@@ -352,6 +352,12 @@ def _decode_group(win: _Window, at: np.ndarray, n: int, kind: int) -> tuple[np.n
             at = t + step
         u = ((stops - begins) << k) | win.read(stops + 1, np.broadcast_to(k, stops.shape))
         x[row : row + count] = (u >> 1) ^ -(u & 1)
+        if plain.any():
+            size = win.read(raw, 5)
+            v = win.read(raw + 5 + size * np.arange(count)[:, None], np.broadcast_to(np.maximum(size, 1), (count, len(raw)))).astype(np.int64)
+            half = np.int64(1) << np.maximum(size - 1, 0)
+            x[row : row + count, plain] = np.where(size > 0, np.where(v >= half, v - 2 * half, v), 0)
+            at[plain] = raw + 5 + size * count
         row += count
     if kind < _LPC:
         for o in range(order, 0, -1):  # integrate, with the warm-up's differences in front
@@ -371,7 +377,8 @@ def decode_frames(data: np.ndarray, start: np.ndarray, limit: np.ndarray) -> tup
     out: list[np.ndarray] = [np.zeros(0)] * len(start)
     ends = np.zeros(len(start), dtype=np.int64)
     b = padded[start[:, None] + np.arange(16)[None, :]].astype(np.int64)
-    if ((b[:, 0] != 0xFF) | (b[:, 1] != 0xF8) | (b[:, 3] != 2) | (b[:, 2] & 15 != 0)).any():
+    rate = b[:, 2] & 15  # of no use here, but some codes put it behind the block size
+    if ((b[:, 0] != 0xFF) | (b[:, 1] != 0xF8) | ((b[:, 3] != 2) & (b[:, 3] != 0)) | (rate == 15)).any():
         raise Corrupt("no frame of a mono 8-bit stream here")
     code = b[:, 2] >> 4
     lead = b[:, 4]
@@ -382,7 +389,7 @@ def decode_frames(data: np.ndarray, start: np.ndarray, limit: np.ndarray) -> tup
     size = np.select([code == 6, code == 7, code >= 8], [b[row, after] + 1, two, 256 << np.maximum(code - 8, 0)], 0)
     if (size == 0).any():
         raise Corrupt("block size code isn't read")
-    head = after + np.select([code == 6, code == 7], [1, 2], 0)
+    head = after + np.select([code == 6, code == 7], [1, 2], 0) + np.select([rate == 12, rate > 12], [1, 2], 0)
     kind = padded[start + head + 1] >> 1
     for h in np.unique(head).tolist():
         of = np.flatnonzero(head == h)
@@ -492,7 +499,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def blocks(media: DataFrame) -> DataFrame:
-    """(doc_id, sample_offset, pcm): the PCM blocks of each stream, one row for each frame."""
+    """(doc_id, sample_offset, pcm): the PCM blocks of each stream, one row for each frame.
+
+    A stream that breaks the format or a checksum raises Corrupt; an empty table gives no rows.
+    """
     kind = dict(media.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,8 +16,8 @@ def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of every document and what they decode to, as digests."""
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
+    """Token ids of every document, their offsets and what they decode to, as digests."""
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), offsets=True))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document stored as FLAC and read back, as digests."""
+    """Every document stored as FLAC and read back, as digests; the last one is of the sample offsets of its blocks."""
     done = flac.decode(flac.encode(table(spark, sf_dir, "documents")))
     return done.select(
         "doc_id", "n_bytes",
@@ -60,6 +60,7 @@ def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        F.sha2(F.array_join(F.col("offsets").cast("array<string>"), " "), 256).alias("offsets_sha256"),
     )
 
 
