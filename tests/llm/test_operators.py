@@ -808,3 +808,45 @@ def test_offset_digests(spark):
     spans = words.offsets(text, words.encode([text])[0])
     assert row["offsets_sha256"] == hashlib.sha256(b"".join(np.asarray(x, "<i4").tobytes() for x in spans)).hexdigest()
     assert bpe.digests(bpe.encode(awkward(spark, [(1, text)]))).first()["offsets_sha256"] is None
+
+
+def test_guests_meet_members_of_their_buckets_only():
+    import pandas as pd
+
+    words = [f"w{i}" for i in range(50)]
+    text = " ".join(words)
+    near = " ".join(["other", *words[1:]])
+    row = lambda node, root, keys, t: {"node": node, "root": root, "keys": keys, "text": t}
+    have = pd.DataFrame([row(b"a", b"A", [1, 2], text), row(b"b", b"B", [3], text + " more"), row(b"c", b"A", [1], text + " end"), row(b"d", b"D", [1], "quite different words")])
+    ask = pd.DataFrame([row(b"g", b"G", [1], near)])
+    assert neardup._first_links(ask, have, 80, 2) == [(b"g", b"a")]  # b shares no bucket, c is joined by then
+    assert neardup._first_links(ask.assign(keys=[[9]]), have, 80, 2) == []
+    assert neardup._first_links(ask.iloc[:0], have, 80, 2) == []
+
+
+def test_near_duplicates_of_a_template_group(spark):
+    """Many texts of one template: the hub reaches some, the others are linked to one another only."""
+    r = random.Random(9)
+    base = [f"t{i}" for i in range(60)]
+    rows = []
+    for family in range(12):
+        mid = list(base)
+        for k in r.sample(range(60), 9):
+            mid[k] = f"f{family}.{k}"
+        for _ in range(12):
+            own = list(mid)
+            own[r.randrange(60)] = f"x{r.random()}"
+            rows.append((len(rows), " ".join(own)))
+    r.shuffle(rows)
+    assert components_of(neardup.find(awkward(spark, rows))) == closure(rows)
+
+
+def test_components_of_long_chains(spark):
+    n = 300
+    order = list(range(n))
+    random.Random(3).shuffle(order)
+    links = [(f"{order[i]:04d}".encode(), f"{order[i + 1]:04d}".encode()) for i in range(n - 1) if i % 100 != 99]
+    got = {bytes(x["node"]): bytes(x["root"]) for x in neardup.components(spark.createDataFrame(links, "a binary, b binary")).collect()}
+    for start in range(0, n, 100):
+        part = [f"{x:04d}".encode() for x in order[start : start + 100]]
+        assert {got[x] for x in part} == {min(part)}

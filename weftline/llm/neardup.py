@@ -242,17 +242,18 @@ def _links(source: DataFrame, nodes: DataFrame, percent: int, width: int) -> Dat
 def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links between members of one bucket that the hubs left in different components.
 
-    The component of a bucket's hub is a group; the bucket's members outside of it are its guests. Every
-    pair of a bucket that isn't in one component is a guest and a resident, or two guests, of one group.
-    Guests are held against residents and guests in cells of bounded size, on full sets; a cell returns
-    links that join components, so fewer than it has nodes.
+    The component of a bucket's hub is a group; the bucket's members outside of it are its guests, those
+    inside its residents. Every pair of a bucket that isn't in one component is a guest and a resident, or
+    two guests, of one group. Buckets without a guest are done. Of the others, guests are held against the
+    members of their own buckets, in cells of bounded size, on full sets; a cell returns links that join
+    components, so fewer than it has nodes.
     """
     root_of = lambda df, c, name: df.join(roots.select(F.col("node").alias(c), F.col("root").alias(name)), c, "left").withColumn(name, F.coalesce(name, c))
-    at = root_of(members, "node", "root").join(durable(root_of(hubs, "hub", "grp"), "groups").select("key", "grp"), "key")
-    guests = durable(at.where("root <> grp").select("grp", "node", "root").distinct(), "guests")
-    of_group = guests.select("grp").distinct()
-    linked = root_of(texts.select("node"), "node", "grp").join(of_group, "grp", "left_semi")
-    everyone = linked.select("grp", "node", F.col("grp").alias("root"), F.lit(False).alias("guest")).unionByName(guests.withColumn("guest", F.lit(True)))
+    at = durable(root_of(members, "node", "root").join(durable(root_of(hubs, "hub", "grp"), "groups").select("key", "grp"), "key"), "met-in")
+    unsettled = at.where("root <> grp").select("key").distinct()
+    # a node's buckets that aren't settled: BANDS numbers at most
+    everyone = at.join(unsettled, "key", "left_semi").groupBy("grp", "node").agg(F.first("root").alias("root"), F.collect_set("key").alias("keys"))
+    everyone = everyone.withColumn("guest", F.col("root") != F.col("grp"))
     # a cell holds about CELL bytes of text on either side, so a group of any size is many cells
     everyone = durable(everyone.join(texts, "node").withColumn("bytes", F.octet_length("text")), "held")
     sizes = everyone.groupBy("grp").agg(
@@ -260,8 +261,8 @@ def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFr
     )
     dealt = everyone.join(durable(sizes, "sizes"), "grp")
     spread = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
-    right = dealt.select("grp", spread("wide", 1).alias("col"), F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("row"), "node", "root", "text")
-    left = dealt.where("guest").select("grp", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("col"), spread("high", 2).alias("row"), "node", "root", "text")
+    right = dealt.select("grp", spread("wide", 1).alias("col"), F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("row"), "node", "root", "keys", "text")
+    left = dealt.where("guest").select("grp", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("col"), spread("high", 2).alias("row"), "node", "root", "keys", "text")
 
     def meet(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         found = _first_links(ask, have, percent, width)
@@ -273,16 +274,25 @@ def _across(members: DataFrame, hubs: DataFrame, roots: DataFrame, texts: DataFr
 
 
 def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int) -> list[tuple[bytes, bytes]]:
-    """Links between `ask` and `have` that join components not joined yet: fewer than there are nodes."""
+    """Links between `ask` and `have` that join components not joined yet: fewer than there are nodes.
+
+    Held against one another are nodes of different components that share a bucket (an element of
+    `keys`). Hashes of shingles choose, the full sets confirm.
+    """
     if not len(ask) or not len(have):
         return []
     known = _WordHashes()
     sets = [shingle_hashes(t, known, width) for t in have["text"]]
     sizes = np.array([len(s) for s in sets])
     ids, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    nodes, roots = list(have["node"]), list(have["root"])
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    nodes, roots, texts = list(have["node"]), list(have["root"]), list(have["text"])
     up = {r: r for r in [*roots, *ask["root"]]}
+    in_bucket: dict[int, list[int]] = {}
+    for i, keys in enumerate(have["keys"]):
+        for k in keys:
+            in_bucket.setdefault(k, []).append(i)
 
     def top(r: bytes) -> bytes:
         while up[r] != r:
@@ -290,18 +300,28 @@ def _first_links(ask: pd.DataFrame, have: pd.DataFrame, percent: int, width: int
         return r
 
     out = []
-    for node, root, text in zip(ask["node"], ask["root"], ask["text"]):
+    for node, root, keys, text in zip(ask["node"], ask["root"], ask["keys"], ask["text"]):
+        met = np.unique(np.array([i for k in keys for i in in_bucket.get(k, ())], dtype=np.int64))
         own = shingle_hashes(text, known, width)
+        met = met[100 * np.minimum(sizes[met], len(own)) >= percent * np.maximum(sizes[met], len(own))]
+        met = met[[top(roots[i]) != top(root) for i in met]] if len(met) else met
+        if not len(met):
+            continue
         at = np.searchsorted(ids, own)
         at = at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == own)]
         present = np.zeros(len(ids), dtype=np.int64)
         present[at] = 1
-        both = np.add.reduceat(present[flat], begin)
-        for i in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
+        both = np.array([present[flat[begin[i] : ends[i]]].sum() for i in met])
+        full = None
+        for i in met[100 * both >= percent * (len(own) + sizes[met] - both)]:
             a, b = top(root), top(roots[i])
             if a != b:
-                up[b] = a
-                out.append((node, nodes[i]))
+                full = shingles(text, width) if full is None else full
+                other = shingles(texts[i], width)
+                common = len(full & other)
+                if 100 * common >= percent * (len(full) + len(other) - common):
+                    up[b] = a
+                    out.append((node, nodes[i]))
     return out
 
 
