@@ -105,6 +105,8 @@ def stability(candidates: DataFrame) -> DataFrame:
 
     Only a field's best contributes: its score less the runner-up's, neither below zero.
     """
-    top = candidates.groupBy("page_id", "field").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, 2).alias("s"), F.count("*").alias("n"))
-    lead = F.greatest(F.lit(0.0), F.col("s")[0] - F.greatest(F.lit(0.0), F.coalesce(F.get("s", F.lit(1)), F.lit(0.0))))
+    order = Window.partitionBy("page_id", "field").orderBy(F.desc_nulls_last("score"))
+    ranked = candidates.withColumn("rank", F.row_number().over(order))
+    top = ranked.groupBy("page_id", "field").agg(F.max(F.when(F.col("rank") == 1, F.col("score"))).alias("best"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("next"), F.count("*").alias("n"))
+    lead = F.greatest(F.lit(0.0), F.col("best") - F.greatest(F.lit(0.0), F.coalesce("next", F.lit(0.0))))
     return top.withColumn("lead", lead).groupBy("page_id").agg((F.sum("lead") / F.sum("n")).alias("sigma"))

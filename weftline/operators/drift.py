@@ -10,7 +10,7 @@ from weftline.operators.reason import STABLE
 #: Values that a history file keeps.
 KEPT = 1000
 #: Fixed value: why a page is queued.
-REASON = "stability below threshold"
+REASON = "DRIFT_DETECTED: σ below threshold (preliminary signal)."
 
 
 def history(values: DataFrame, key: str | None = None) -> DataFrame:

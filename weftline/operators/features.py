@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from weftline.functions.text import strip
 TAGS = ("div", "span", "a", "img", "p", "h1", "h2", "li", "ul", "table", "form", "input", "button")
 #: Buckets of the text hash, and the page that geometry is measured by.
 BUCKETS = 128
+#: Characters hashed at once.
+STRETCH = 1 << 20
 WIDTH, HEIGHT = 1200.0, 2400.0
 
 
@@ -20,33 +24,38 @@ def text_buckets(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     A gram's hash is h * 31 + code point from left to right; the bucket is that modulo 128, and since
     128 divides the word size of the hash, the sum can be reduced at once.
     """
-    t = strip(F.lower(F.coalesce(F.col(text), F.lit(""))))
-    codes = F.transform(F.filter(F.split(t, ""), lambda c: c != ""), lambda c: F.ascii(c) % BUCKETS)
-    grams = rows.select(F.col(key), codes.alias("c"))
-    two = F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: (F.get("c", i - 1) * 31 + F.get("c", i)) % BUCKETS)
-    three = F.transform(F.sequence(F.lit(1), F.size("c") - 2), lambda i: (F.get("c", i - 1) * 961 + F.get("c", i) * 31 + F.get("c", i + 1)) % BUCKETS)
-    none = F.array().cast("array<int>")
-    all_ = F.concat(F.when(F.size("c") >= 2, two).otherwise(none), F.when(F.size("c") >= 3, three).otherwise(none))
-    return grams.select(key, F.explode(all_).alias("bucket")).groupBy(key, "bucket").agg(F.count("*").alias("n"))
+    counted = rows.select(F.col(key), F.posexplode(F.pandas_udf(_histograms, "array<long>")(_cleaned(text))).alias("bucket", "n")).where("n > 0")
+    return counted.groupBy(key, "bucket").agg(F.sum("n").alias("n"))
 
 
-def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
-    """`rows` with `value` computed once a row, however often later expressions use it."""
-    return rows.select("*", F.explode(F.array(value)).alias(name))
+def _cleaned(text: str) -> Column:
+    return strip(F.lower(F.coalesce(F.col(text), F.lit(""))))
+
+
+def _buckets(text: str) -> np.ndarray:
+    """How many 2- and 3-grams fall into each bucket, a stretch of the text at a time."""
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, max(0, len(text) - 1), STRETCH):
+        c = np.frombuffer(text[at : at + STRETCH + 2].encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        two = c[:-1] * 31 + c[1:]
+        total += np.bincount(two[:STRETCH] % BUCKETS, minlength=BUCKETS)
+        total += np.bincount((two[:-1] * 31 + c[2:])[:STRETCH] % BUCKETS, minlength=BUCKETS)
+    return total
+
+
+def _histograms(texts: pd.Series) -> pd.Series:
+    return pd.Series([_buckets(t) for t in texts], dtype=object)
+
+
+def _unit(texts: pd.Series) -> pd.Series:
+    """Histograms of norm 1, all zero for texts without a gram."""
+    found = [_buckets(t).astype(float) for t in texts]
+    return pd.Series([v / (np.linalg.norm(v) or 1.0) for v in found], dtype=object)
 
 
 def with_text_vector(rows: DataFrame, text: str = "text") -> DataFrame:
     """`rows` with `text_vector`: the 128 bucket counts scaled to norm 1, all zero for blank text."""
-    t = strip(F.lower(F.coalesce(F.col(text), F.lit(""))))
-    rows = _once(rows, "__c", F.transform(F.filter(F.split(t, ""), lambda x: x != ""), lambda x: F.ascii(x) % BUCKETS))
-    none = F.array().cast("array<int>")
-    two = F.transform(F.sequence(F.lit(1), F.size("__c") - 1), lambda i: (F.get("__c", i - 1) * 31 + F.get("__c", i)) % BUCKETS)
-    three = F.transform(F.sequence(F.lit(1), F.size("__c") - 2), lambda i: (F.get("__c", i - 1) * 961 + F.get("__c", i) * 31 + F.get("__c", i + 1)) % BUCKETS)
-    rows = _once(rows, "__g", F.concat(F.when(F.size("__c") >= 2, two).otherwise(none), F.when(F.size("__c") >= 3, three).otherwise(none)))
-    rows = _once(rows, "__n", F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.size(F.filter("__g", lambda g: g == b)).cast("double")))
-    norm = F.sqrt(F.aggregate("__n", F.lit(0.0), lambda s, v: s + v * v))
-    rows = _once(rows, "__norm", F.when(norm == 0, 1.0).otherwise(norm))
-    return rows.withColumn("text_vector", F.transform("__n", lambda v: v / F.col("__norm"))).drop("__c", "__g", "__n", "__norm")
+    return rows.withColumn("text_vector", F.pandas_udf(_unit, "array<double>")(_cleaned(text)))
 
 
 def visual() -> Column:

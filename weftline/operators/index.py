@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import urls as u
+from weftline.scratch import written
 
 #: A listing ends after so many pages in a row without a new url.
 EMPTY_PAGES = 3
@@ -148,17 +149,34 @@ def crawl(pages: DataFrame, order: list[str], seen: DataFrame, limit: int = EMPT
     return found
 
 
-def walk(tree: DataFrame, roots: DataFrame, depth: int = 50) -> DataFrame:
-    """(sitemap) reachable from `roots` over (sitemap, child), each once; a frontier is joined at a time."""
-    seen = frontier = roots.select("sitemap").distinct()
-    for _ in range(depth):
-        frontier = tree.join(frontier, "sitemap").select(F.col("child").alias("sitemap")).distinct().join(seen, "sitemap", "left_anti").cache()
-        if frontier.isEmpty():
-            return seen
+def walk(tree: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sitemap) reachable from `roots` over (sitemap, child), each once, however deep; a frontier is joined at a time.
+
+    Frontiers are written, so neither plans nor memory grow with the depth.
+    """
+    seen = frontier = written(roots.select("sitemap").distinct(), "frontier")
+    while not (frontier := written(tree.join(frontier, "sitemap").select(F.col("child").alias("sitemap")).distinct().join(seen, "sitemap", "left_anti"), "frontier")).isEmpty():
         seen = seen.unionByName(frontier)
     return seen
 
 
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """`rows` with `place`, from 1 in the given order, for any size: ranges are sorted side by side.
+
+    One row for each range, so never more than there are partitions, is summed up.
+    """
+    ranged = written(rows.orderBy(*order).withColumn("at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("at", 33)
+    counts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return ranged.withColumn("part", part).join(F.broadcast(before), "part").select(*rows.columns, (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
+
+
+def summary(index: DataFrame) -> DataFrame:
+    """(total, namespaces, confirmed): counts of an index; a null namespace is `unknown`."""
+    return index.agg(F.count("*").alias("total"), F.countDistinct(F.coalesce("namespace", F.lit("unknown"))).alias("namespaces"), F.count_if(F.col("Confirmed")).alias("confirmed"))
+
+
 def pending(records: DataFrame, done: DataFrame | None = None, only_confirmed: bool = True, force: bool = False) -> DataFrame:
     """Records still to annotate: with a url, not done or scraped unless forced, confirmed if asked."""
     rows = records.where(F.coalesce("url", F.lit("")) != "")

@@ -82,16 +82,6 @@ def stability(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("page_id").agg(F.coalesce(F.avg(_margin()), F.lit(0.0)).alias("sigma"))
 
 
-def _best(gain: Column, ok: Column, keep: int) -> Column:
-    """The `keep` largest positive gains among `ok` nodes, ties to the smaller node.
-
-    The first is a plain minimum; with two, the second is the minimum of an ordered list of the page's
-    admissible nodes, which are few.
-    """
-    entry = F.when(ok & (gain > 0), F.struct((-gain).alias("loss"), F.col("node_idx").alias("idx"), F.col("text").alias("text")))
-    return F.slice(F.sort_array(F.collect_list(entry)), 1, keep)
-
-
 def assign_exact(nodes: DataFrame) -> DataFrame:
     """(page_id, title_idx, title, price_idx, price, gain): the assignment of the largest total score.
 
@@ -100,16 +90,24 @@ def assign_exact(nodes: DataFrame) -> DataFrame:
     took it, so the two best of each suffice. Ties go to the smaller price node, then title node; a gain
     of zero assigns nothing.
     """
-    return _choose(nodes.groupBy("page_id").agg(*_tops()))
+    return _choose(_entries(nodes).groupBy("page_id").agg(*_tops()))
 
 
-def _tops() -> list[Column]:
-    """Aggregates of the two best admissible nodes of either field."""
+def _entries(nodes: DataFrame) -> DataFrame:
+    """`nodes` with what each could give either field (null if it may not), and the page's best of that."""
     open_ = ~F.col("in_footer") & ~F.col("out_of_zone")
-    return [
-        _best(F.col("s_price") - F.col("s_other"), open_ & F.col("price_ok"), 2).alias("prices"),
-        _best(F.col("s_title") - F.col("s_other"), open_, 2).alias("titles"),
-    ]
+    page = Window.partitionBy("page_id")
+    for field, ok in (("price", open_ & F.col("price_ok")), ("title", open_)):
+        gain = F.col(f"s_{field}") - F.col("s_other")
+        entry = F.when(ok & (gain > 0), F.struct((-gain).alias("loss"), F.col("node_idx").alias("idx"), F.col("text").alias("text")))
+        nodes = nodes.withColumn(f"{field}_entry", entry)
+    return nodes.withColumns({f"{field}_best": F.min(f"{field}_entry").over(page) for field in ("price", "title")})
+
+
+def _tops() -> list[Column]:
+    """Aggregates of the two best entries of either field: the least, and the least of those above it."""
+    second = lambda f: F.min(F.when(F.col(f"{f}_entry") > F.col(f"{f}_best"), F.col(f"{f}_entry")))
+    return [F.array_compact(F.array(F.min(f"{f}_entry"), second(f))).alias(f"{f}s") for f in ("price", "title")]
 
 
 def _choose(top: DataFrame, *kept: str) -> DataFrame:
@@ -168,13 +166,23 @@ def merge_split_title(nodes: DataFrame, assigned: DataFrame, near: float = 60.0)
     return joined.select("page_id", F.when(F.col("more").isNotNull(), F.concat("title", F.lit(" "), F.col("more.text"))).otherwise(F.col("title")).alias("title"))
 
 
-def records(nodes: DataFrame, drift: float = 0.0) -> DataFrame:
+def records(nodes: DataFrame, drift: float = 0.0, mode: str = "exact", priors: bool = True) -> DataFrame:
     """One extraction record a page: both fields, the gain, stability and whether it is to be relabelled.
 
-    Pages without nodes give no record.
+    `mode` is `exact`, the best assignment under the constraints, or `greedy`, each field's best score
+    without any; without `priors` the probabilities are the scores. Pages without nodes give no record.
     """
-    rows = scored(blend(nodes, drift))
-    found = rows.groupBy("page_id").agg(*_tops(), F.coalesce(F.avg(_margin()), F.lit(0.0)).alias("sigma"))  # one pass
+    if mode not in ("exact", "greedy"):
+        raise ValueError(f"unknown mode {mode!r}")
+    rows = with_masks(blend(nodes, drift))
+    rows = with_priors(rows) if priors else rows.withColumns({f"s_{f}": F.col(f"p_{f}") for f in ("price", "title", "other")})
+    if mode == "greedy":
+        gain = F.col("t.gain") + F.col("p.gain")
+        pick = lambda f: F.min(F.struct((-F.col(f"s_{f}")).alias("loss"), F.col("node_idx").alias("idx"), F.col("text").alias("text"), (F.col(f"s_{f}") - F.col("s_other")).alias("gain")))
+        best = rows.groupBy("page_id").agg(pick("title").alias("t"), pick("price").alias("p"), F.coalesce(F.avg(_margin()), F.lit(0.0)).alias("sigma"))
+        best = best.select("page_id", F.col("t.idx").alias("title_idx"), F.col("t.text").alias("title"), F.col("p.idx").alias("price_idx"), F.col("p.text").alias("price"), gain.alias("gain"), "sigma")
+        return best.withColumn("alert", F.col("sigma") < STABLE)
+    found = _entries(rows).groupBy("page_id").agg(*_tops(), F.coalesce(F.avg(_margin()), F.lit(0.0)).alias("sigma"))  # one pass
     return _choose(found, "sigma").withColumn("alert", F.col("sigma") < STABLE)
 
 

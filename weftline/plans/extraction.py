@@ -204,7 +204,7 @@ def drift_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.history(_values(spark, sf_dir), "template").withColumn("running_mean", F.round("running_mean", 9))
 
 
-@query("drift_queue", f"WITH {VALUES_SQL} SELECT page_url, sigma AS stability_score, 'stability below threshold' AS reason, '2026-01-01T00:00:00Z' AS timestamp_utc FROM v WHERE sigma < 0.6")
+@query("drift_queue", f"WITH {VALUES_SQL} SELECT page_url, sigma AS stability_score, 'DRIFT_DETECTED: σ below threshold (preliminary signal).' AS reason, '2026-01-01T00:00:00Z' AS timestamp_utc FROM v WHERE sigma < 0.6")
 def drift_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.queue(_values(spark, sf_dir), "2026-01-01T00:00:00Z")
 

@@ -77,13 +77,16 @@ def replace_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ix.replace_by(pages, pages.where("page_id % 10 = 0").withColumn("size", F.lit(0).cast("long")), "page_id").select("page_id", "url", "size")
 
 
-@query("index_sorted", f"""WITH {INDEX_SQL} SELECT CAST(row_number() OVER (ORDER BY coalesce(namespace, ''), url) AS INTEGER) AS place, url FROM old_index QUALIFY place <= 1000""")
+@query("index_sorted", f"""WITH {INDEX_SQL} SELECT CAST(row_number() OVER (ORDER BY coalesce(namespace, ''), url) AS BIGINT) AS place, url FROM old_index""")
 def index_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first thousand rows in export order (a top-k, so no global window)."""
-    from pyspark.sql import Window
+    """All rows in export order."""
+    rows = url_index(spark, sf_dir, old=True).select(F.coalesce("namespace", F.lit("")).alias("ns"), "url")
+    return ix.numbered(rows, "ns", "url").select("place", "url")
+
 
-    top = url_index(spark, sf_dir, old=True).select(F.coalesce("namespace", F.lit("")).alias("ns"), "url").orderBy("ns", "url").limit(1000)
-    return top.select(F.row_number().over(Window.orderBy("ns", "url")).alias("place"), "url")
+@query("index_summary", f"""WITH {INDEX_SQL} SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(DISTINCT coalesce(namespace, 'unknown')) AS BIGINT) AS namespaces, CAST(count(*) FILTER (WHERE confirmed) AS BIGINT) AS confirmed FROM old_index""")
+def index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ix.summary(url_index(spark, sf_dir, old=True))
 
 
 @query("url_parts", f"SELECT page_id, regexp_extract(url, '{RFC}', 1) AS scheme, regexp_extract(url, '{RFC}', 2) AS authority, regexp_extract(url, '{RFC}', 3) AS path FROM pages")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators import drift, index as ix
-from weftline.plans.extraction import _values
+from weftline.plans.extraction import VALUES_SQL, _values
 from weftline.plans.registry import query
 from weftline.sources import readers, stores
-from weftline.sources.bridge import page_nodes, table
+from weftline.sources.bridge import NODES_SQL, page_nodes, table
 from weftline.streaming import monitor
 
 
@@ -32,7 +32,7 @@ def sitemap_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ix.walk(regions.unionByName(nations).unionByName(back), spark.createDataFrame([("root",)], "sitemap string"))
 
 
-@query("jsonld_nodes")
+@query("jsonld_nodes", f"WITH {NODES_SQL} SELECT page_id AS artifact_id, node_idx, text, tag, x, y, w, h FROM nodes")
 def jsonld_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page nodes written as linked-data artifacts and read back; tests hold them to the nodes."""
     n = page_nodes(spark, sf_dir)
@@ -52,7 +52,7 @@ def crawl_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ix.crawl(pages, ["list0", "list1", "list2"], spark.createDataFrame([], "url string"))
 
 
-@query("drift_stream")
+@query("drift_stream", f"""WITH {VALUES_SQL} SELECT CAST(template AS VARCHAR) AS template, seq, page_url, sigma, round(avg(sigma) OVER (PARTITION BY template ORDER BY seq), 9) AS running_mean, sigma < 0.6 AS alert FROM v""")
 def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history of `drift_history` by a stream over the events file, with its result."""
     source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
@@ -60,7 +60,7 @@ def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = stores.scratch(spark, "stream")
     run = monitor.monitored(values).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.schema(monitor.OUTPUT).parquet(f"{at}/out")
+    return spark.read.schema(monitor.OUTPUT).parquet(f"{at}/out").withColumn("running_mean", F.round("running_mean", 9))
 
 
 @query("drift_daily", """WITH v AS (SELECT date_trunc('day', ts) AS day, CAST(((CAST(floor(value * 100) AS BIGINT) % 1000) + 1000) % 1000 AS DOUBLE) / 1000 AS sigma FROM events)

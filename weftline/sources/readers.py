@@ -97,9 +97,9 @@ def offline_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def acquire(requests: DataFrame, pages: DataFrame) -> DataFrame:
-    """Each requested url with its page, or with the first one if it isn't there."""
+    """Each requested url with its page, or with the first one if it isn't there; nulls where there is no page."""
     first = F.broadcast(pages.orderBy("ordinal").limit(1).select(F.struct(*pages.columns).alias("first")))
-    hit = requests.select("url").join(pages.withColumnRenamed("url", "p_url"), F.col("url") == F.col("p_url"), "left").join(first)
+    hit = requests.select("url").join(pages.withColumnRenamed("url", "p_url"), F.col("url") == F.col("p_url"), "left").join(first, F.lit(True), "left")
     return hit.select("url", *(F.when(F.col("p_url").isNull(), F.col(f"first.{c}")).otherwise(F.col(c)).alias(c) for c in pages.columns if c != "url"))
 
 

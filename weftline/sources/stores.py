@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import urls as u
 from weftline.operators import index as ix
-from weftline.sources.readers import URL_RECORD
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share; a local one only where none is set, on one machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = f"file://{tempfile.mkdtemp(prefix='weftline-')}"
-    return f"{shared.rstrip('/')}/weftline/{name}-{uuid.uuid4().hex}"
+from weftline.scratch import scratch  # noqa: F401
+from weftline.sources.readers import URL_RECORD, done_urls
 
 
 class ParquetStore:
@@ -82,3 +72,59 @@ def append_json(docs: DataFrame, path: str) -> None:
 def write_index(index: DataFrame, path: str) -> None:
     """The index as JSON lines in the order of (namespace, url), range-partitioned, for any size."""
     index.orderBy(F.coalesce("namespace", F.lit("")), "url").write.mode("overwrite").json(path)
+
+
+#: Rows that a store in memory holds, at most.
+MEMORY_ROWS = 100_000
+
+
+class MemoryStore(ParquetStore):
+    """The same store with its tables on the driver, for trials and tests; more than MEMORY_ROWS rows raise."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark, "")
+
+    def _write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        rows = df.limit(MEMORY_ROWS + 1).collect()
+        if len(rows) > MEMORY_ROWS:
+            raise ValueError(f"more than {MEMORY_ROWS} rows for a store in memory")
+        return self.spark.createDataFrame(rows, df.schema)
+
+
+class Sink(Protocol):
+    """Where documents of a run go."""
+
+    def done(self) -> DataFrame | None:
+        """(url) of documents that are there already, None without any."""
+
+    def write(self, docs: DataFrame) -> None:
+        """Add documents."""
+
+
+class JsonSink:
+    """Documents as JSON lines in a folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def done(self) -> DataFrame | None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            return None
+        return done_urls(self.spark, self.path)
+
+    def write(self, docs: DataFrame) -> None:
+        append_json(docs, self.path)
+
+
+class StoreSink:
+    """Documents in a store, which also stamps their urls."""
+
+    def __init__(self, store: ParquetStore):
+        self.store = store
+
+    def done(self) -> DataFrame | None:
+        return self.store.annotated()
+
+    def write(self, docs: DataFrame) -> None:
+        self.store.save_annotations(docs)

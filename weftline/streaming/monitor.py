@@ -38,9 +38,12 @@ def windowed(values: DataFrame, width: str = "1 hour", late: str = "10 minutes")
 
 
 def enqueue(values: DataFrame, path: str, checkpoint: str, at: str | None = None):
-    """Start a query that appends a relabelling request for each alert of the stream."""
+    """Start a query that adds a relabelling request for each alert of the stream.
 
-    def keep(batch: DataFrame, _: int) -> None:
-        queue(batch, at).write.mode("append").json(path)
+    Each micro-batch has a folder of its number, so one that is played again replaces what it wrote.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        queue(batch, at).write.mode("overwrite").json(f"{path}/batch={number}")
 
     return values.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
