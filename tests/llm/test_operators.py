@@ -568,8 +568,8 @@ def test_ranker_fits_its_pairs():
     model = quality.fit(np.zeros_like(figures), hashed, y, pairs=2000)
     scores = model.probability(model.preference(np.zeros_like(figures), hashed))
     assert ((scores >= quality.CUT) == (y == 1)).all()
-    whole = quality._grams("é日本🎉" * 400_000)  # more than a chunk
-    codes = [ord(c) for c in "é日本🎉" * 400_000]
+    whole = quality._grams("é日本🎉" * 60_000)  # more than a chunk
+    codes = [ord(c) for c in "é日本🎉" * 60_000]
     assert whole.sum() == len(codes) - 2 and (quality._grams("é日本🎉" * 3)[whole == 0] == 0).all()
 
 

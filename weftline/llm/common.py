@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import contextvars
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -96,11 +97,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of so many rows, which is what a worker holds as Python objects at once."""
-    for batch in batches:
+    for batch in handed_back(batches):
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 
 
+def handed_back(batches: Iterator) -> Iterator:
+    """The batches; at the end of each task the memory that its worker has freed goes back to the machine.
+
+    Workers live on between tasks, and what their allocators keep counts as the executor's.
+    """
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def held_out(doc_id="doc_id"):
     """True for one fifth of the ids: crc32 of the id as text is a multiple of five."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import durable, fresh, slices
+from weftline.llm.common import durable, fresh, handed_back, slices
 
 #: Lines that the rolling hash spans.
 WINDOW = 2
@@ -178,7 +178,7 @@ def _fetch_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array([f[k] for f in found], type=t) for k, t in enumerate(kinds))], names=names)
 
-    for batch in batches:
+    for batch in handed_back(batches):
         take, found, size = [], [], 0
         for row in range(batch.num_rows):
             lines = batch.column(2)[row].as_py().encode().split(b"\n")

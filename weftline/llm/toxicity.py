@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import SAMPLE_PER_CLASS, labelled_sample, slices
+from weftline.llm.common import SAMPLE_PER_CLASS, handed_back, labelled_sample, slices
 from weftline.llm.linear import Rows, sparse
 
 #: Terms for groups of people that are swapped for one another within a list.
@@ -212,7 +212,7 @@ def scorer(model: Model):
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, tuple[int, ...]] = {}
-        for texts in batches:
+        for texts in handed_back(batches):
             out = np.empty(len(texts))
             for i, text in enumerate(texts):
                 found: set[int] = set()
