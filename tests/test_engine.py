@@ -436,3 +436,47 @@ def test_small_readers_and_options(spark, tmp_path):
     assert [r["id"] for r in evaluate.visible(nodes, "product").collect()] == ["104"]
     assert evaluate.progress(nodes).first()["progress"] == 1 / 50
     assert [r["seq"] for r in drift.tail(spark.createDataFrame([(i, 0.1) for i in range(5)], "seq int, sigma double"), 2).collect()] == [4, 3]
+
+
+def test_walk_goes_to_the_end_of_a_chain(spark):
+    tree = spark.createDataFrame([(f"m{i}", f"m{i + 1}") for i in range(54)] + [("m54", "m0")], "sitemap string, child string").coalesce(1)
+    assert ix.walk(tree, spark.createDataFrame([("m0",)], "sitemap string")).count() == 55
+
+
+def test_numbering_is_the_sorted_order(spark):
+    r = random.Random(2)
+    rows = [(r.choice("abc"), f"u{i}") for i in range(500)]
+    got = {(x["ns"], x["url"]): x["place"] for x in ix.numbered(spark.createDataFrame(rows, "ns string, url string").repartition(7), "ns", "url").collect()}
+    assert got == {row: i + 1 for i, row in enumerate(sorted(rows))}
+
+
+def test_run_modes(spark):
+    nodes, rows = pages(spark, 60, 4)
+    greedy = {r["page_id"]: r for r in reason.records(nodes, mode="greedy").collect()}
+    plain = {r["page_id"]: r for r in reason.records(nodes, mode="greedy", priors=False).collect()}
+    want = {r["page_id"]: r for r in reason.assign_greedy(reason.scored(nodes)).collect()}
+    assert all(greedy[p]["title_idx"] == want[p]["title_idx"] and greedy[p]["price_idx"] == want[p]["price_idx"] for p in want)
+    for page, own in by_page(rows).items():
+        assert plain[page]["price_idx"] == min(range(len(own)), key=lambda i: (-own[i][8], i))
+        assert plain[page]["title_idx"] == min(range(len(own)), key=lambda i: (-own[i][9], i))
+    with pytest.raises(ValueError):
+        reason.records(nodes, mode="other")
+
+
+def test_sinks_and_memory_store(spark, tmp_path):
+    a = "https://wiki.example/memes/a"
+    batch = spark.createDataFrame([(0, a, None, True, None, None, None)], ROW)
+    store = stores.MemoryStore(spark)
+    store.upsert(batch)
+    for sink in (stores.JsonSink(spark, str(tmp_path / "out")), stores.StoreSink(store)):
+        assert sink.done() is None
+        results = annotate.checked(annotate.annotate(store.urls(), lambda url, kind: {"title": "A"}), "entry")
+        sink.write(annotate.documents(store.urls(), results, "2026-03-03T00:00:00Z", "m", "p"))
+        assert [r["url"] for r in sink.done().collect()] == [a]
+    assert store.pending().count() == 0
+
+
+def test_requests_without_pages_stay(spark):
+    none = spark.createDataFrame([], "ordinal int, url string, title string")
+    rows = readers.acquire(spark.createDataFrame([("x",)], "url string"), none).collect()
+    assert [(r["url"], r["title"]) for r in rows] == [("x", None)]
