@@ -20,7 +20,6 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -257,21 +256,6 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return both.mapInArrow(_spare, f"id {kind}, tk long, spans {span}, cut {span}").where(F.size("spans") > 0)
 
 
-def _without(texts: pd.Series, since: pd.Series, upto: pd.Series) -> pd.Series:
-    """Texts less the lines of ranges in order that don't touch."""
-
-    def one(text: str | None, a, b) -> str | None:
-        if text is None or a is None:
-            return text
-        lines, left, at = text.split("\n"), [], 0
-        for i, j in zip(a, b):
-            left += lines[at:i]
-            at = j
-        return "\n".join(left + lines[at:])
-
-    return pd.Series([one(*row) for row in zip(texts, since, upto)], dtype=object)
-
-
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with `text` less its repeated chunks and runs, and `removed`: their ranges of lines (never null).
 
@@ -285,10 +269,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spans = repeated(docs, id_col, text_col).select(F.col("id").alias(id_), F.col("tk").alias(tk), F.col("spans").alias(spans_), F.col("cut").alias(cut))
     keyed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(tk)), "left")
-    hit = F.col(spans_).isNotNull()
-    # only texts that lose lines travel to Python
-    without = F.pandas_udf(_without, "string")
-    text = F.when(hit, without(F.when(hit, F.col(text_col)), F.col(cut)["a"], F.col(cut)["b"])).otherwise(F.col(text_col))
+    # what stays lies between one range's end and the next one's begin: a slice each, so linear in the lines
+    lines = F.split(F.col(text_col), "\n")
+    since = F.concat(F.array(F.lit(0)), F.col(cut)["b"])
+    upto = F.concat(F.col(cut)["a"], F.array(F.size(lines)))
+    left = F.flatten(F.zip_with(since, upto, lambda i, j: F.slice(lines, i + 1, j - i)))
+    text = F.when(F.col(spans_).isNotNull(), F.array_join(left, "\n")).otherwise(F.col(text_col))
     none = F.array().cast("array<struct<a:int,b:int>>")
     kept = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed"]
     return joined.select(*kept, F.coalesce(F.array_sort(spans_), none).alias("removed"))
