@@ -480,3 +480,62 @@ def test_requests_without_pages_stay(spark):
     none = spark.createDataFrame([], "ordinal int, url string, title string")
     rows = readers.acquire(spark.createDataFrame([("x",)], "url string"), none).collect()
     assert [(r["url"], r["title"]) for r in rows] == [("x", None)]
+
+
+def test_pace_and_service(monkeypatch):
+    slept, clock = [], [0.0]
+    monkeypatch.setattr(annotate.time, "monotonic", lambda: clock[0])
+    monkeypatch.setattr(annotate.time, "sleep", lambda s: (slept.append(s), clock.__setitem__(0, clock[0] + s)))
+    pace = annotate.Pace(30, tasks=2)
+    assert [pace.wait() for _ in range(3)] == [0.0, 4.0, 4.0] and slept == [4.0, 4.0]
+    assert annotate.Pace().wait() == annotate.Pace().wait() == 0.0
+    s = annotate.Service.of({"ANNOTATION_LLM_PROVIDER": "Google", "GOOGLE_API_KEY": "k", "ANNOTATION_PROXY_URL": "p", "ANNOTATION_PROXY_USERNAME": "u", "ANNOTATION_HEADLESS": "no"})
+    s.require_key()
+    assert s.config() == {"llm": {"model": "google/gpt-4o-mini", "temperature": 0.0, "api_key": "k"}, "headless": False, "verbose": False, "loader_kwargs": {"proxy": {"server": "p", "username": "u"}}}
+    annotate.Service("ollama").require_key()
+    with pytest.raises(ValueError):
+        annotate.Service.of({}).require_key()
+
+
+def test_page_sizes(spark):
+    docs = [("a", {"@graph": [{"@graph": [{"@id": "x"}, {"@type": "b:Page", "b:width": {"@value": "800"}, "b:height": 0}, {"@type": "b:Page", "b:width": 1}]}]}), ("b", {"@graph": []})]
+    df = spark.createDataFrame([(k, json.dumps(d)) for k, d in docs] + [("c", "no json")], "artifact_id string, doc string")
+    assert {r["artifact_id"]: (r["width"], r["height"]) for r in readers.page_size(df).collect()} == {"a": (800.0, 1080.0), "b": (1920.0, 1080.0), "c": (1920.0, 1080.0)}
+
+
+def test_selectors_feed_the_solver(spark):
+    nodes, rows = pages(spark, 20, 6)
+    cands = declarative.propose(nodes, {"price": declarative.by_score("p_price"), "title": declarative.by_score("p_title")})
+    got = {(r["page_id"], r["field"]): r["node_id"] for r in cands.where("pos = 0").collect()}
+    for page, own in by_page(rows).items():
+        assert got[page, "price"] == str(min(range(len(own)), key=lambda i: (-own[i][8], i)))
+    schema = declarative.Schema.from_dict({"name": "s", "fields": [{"name": "price"}, {"name": "title"}]})
+    assert {(r["page_id"], r["field"]): r["node_id"] for r in declarative.solve(cands, schema).collect()} == got
+
+
+def test_first_predicted(spark):
+    rows = [(1, 0, " A long title indeed", "title", 2), (1, 1, "x a long title indeed y", "other", 1), (1, 2, "£5", "price", 0), (2, 0, "t", "other", 1), (2, 1, "£7", "price", 2)]
+    got = {r["page_id"]: (r["title_ok"], r["price_ok"], r["both_ok"]) for r in evaluate.first_predicted(spark.createDataFrame(rows, "page_id int, node_idx int, text string, label string, predicted int")).collect()}
+    assert got == {1: (True, True, True), 2: (False, False, False)}
+
+
+def test_network_learns_and_its_gradient_holds():
+    r = np.random.default_rng(4)
+    made = []
+    for _ in range(12):
+        y = np.array([0, 1, 2, 2, 2, 2])
+        x = r.standard_normal((6, gcn.INPUT)) / 10
+        x[np.arange(6), y] += 3
+        made.append((x, np.array([2, 3]), np.array([3, 2]), y))
+    before = gcn.fit_network(made, [10, 11], epochs=0)[1]
+    weights, score = gcn.fit_network(made, [10, 11], epochs=40)
+    assert before == -1.0 and score == 1.0
+    x, src, dst, y = made[10]
+    assert (weights.probabilities(x, src, dst).argmax(axis=1) == y).mean() > 0.8
+    n, src, dst = 7, r.integers(0, 7, 12), r.integers(0, 7, 12)
+    a = np.zeros((n, n))
+    a[dst, src] = 1
+    np.fill_diagonal(a, 1)
+    d = 1 / np.sqrt(a.sum(axis=1))
+    a, h, own = a * d[:, None] * d[None, :], r.standard_normal((n, 3)), gcn.Adjacency(n, src, dst)
+    assert np.allclose(own.times(h), a @ h) and np.allclose(own.back(h), a.T @ h)

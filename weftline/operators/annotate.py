@@ -18,6 +18,64 @@ from weftline.operators import index
 Annotator = Callable[[str, str], dict]
 
 
+#: The variable that holds a provider's key; others need none.
+KEY_VARIABLES = {"openai": "OPENAI_API_KEY", "google": "GOOGLE_API_KEY"}
+
+
+class Pace:
+    """Calls of a task so far apart that all tasks together make `per_minute` a minute (0: as they come)."""
+
+    def __init__(self, per_minute: int = 0, tasks: int = 1):
+        self.apart, self.next = (60.0 * tasks / per_minute if per_minute > 0 else 0.0), 0.0
+
+    def wait(self) -> float:
+        """Sleep until the next call is due; how long that was."""
+        now = time.monotonic()
+        pause = max(0.0, self.next - now) if self.apart else 0.0
+        self.next = max(now, self.next) + self.apart
+        if pause:
+            time.sleep(pause)
+        return pause
+
+
+@dataclass(frozen=True)
+class Service:
+    """Which model of which provider annotates, and how it is reached."""
+
+    provider: str = "openai"
+    model: str = "gpt-4o-mini"
+    temperature: float = 0.0
+    key: str | None = None
+    base_url: str | None = None
+    proxy: str | None = None
+    proxy_user: str | None = None
+    proxy_password: str | None = None
+    headless: bool = True
+
+    @classmethod
+    def of(cls, variables: dict[str, str]) -> Service:
+        """From variables as the environment has them; missing ones keep their defaults."""
+        get = lambda name: variables.get(f"ANNOTATION_{name}") or None
+        provider = (get("LLM_PROVIDER") or cls.provider).lower()
+        return cls(
+            provider, get("LLM_MODEL") or cls.model, float(get("LLM_TEMPERATURE") or 0.0), variables.get(KEY_VARIABLES.get(provider, "")), get("LLM_BASE_URL"),
+            get("PROXY_URL"), get("PROXY_USERNAME"), get("PROXY_PASSWORD"), (get("HEADLESS") or "true").lower() in ("1", "true", "yes", "on"),
+        )
+
+    def require_key(self) -> None:
+        if KEY_VARIABLES.get(self.provider) and not self.key:
+            raise ValueError(f"{self.provider} needs {KEY_VARIABLES[self.provider]}")
+
+    def config(self) -> dict:
+        """The nested options that an annotator library takes."""
+        llm = {"model": f"{self.provider}/{self.model}", "temperature": self.temperature, "api_key": self.key, "base_url": self.base_url}
+        proxy = {"server": self.proxy, "username": self.proxy_user, "password": self.proxy_password}
+        out: dict = {"llm": {k: v for k, v in llm.items() if v is not None}, "headless": self.headless, "verbose": False}
+        if self.proxy:
+            out["loader_kwargs"] = {"proxy": {k: v for k, v in proxy.items() if v}}
+        return out
+
+
 @dataclass(frozen=True)
 class Options:
     """How a run is made: where records come from, which are taken, who annotates them."""
@@ -62,19 +120,22 @@ def mock_payload(url: Column, family: str) -> Column:
     return F.struct(*(own.get(n, coerce.default_of(k)).alias(n) for n, k in coerce.fields_of(family)))
 
 
-def annotate(records: DataFrame, annotator: Annotator, attempts: int = 3, wait: float = 2.0) -> DataFrame:
+def annotate(records: DataFrame, annotator: Annotator, attempts: int = 3, wait: float = 2.0, per_minute: int = 0, tasks: int = 1) -> DataFrame:
     """(url, template, raw, error) for records (url, page_template_type): the annotator's JSON or its error.
 
     A call is tried `attempts` times with growing waits; what fails for good becomes a row with an error,
-    never a failed task. Repartition `records` to set how many calls run at once.
+    never a failed task. Repartition `records` to set how many calls run at once; with
+    `per_minute` they are dealt to `tasks`, which together make no more calls a minute than that.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pace = Pace(per_minute, tasks)
         for f in frames:
             out = []
             for url, kind in zip(f["url"], f["template"], strict=True):
                 raw, error = None, None
                 for i in range(attempts):
+                    pace.wait()
                     try:
                         got = annotator(url, kind)
                         raw = got if isinstance(got, str) else json.dumps(got if isinstance(got, dict) else {}, ensure_ascii=False)
@@ -88,7 +149,8 @@ def annotate(records: DataFrame, annotator: Annotator, attempts: int = 3, wait:
             yield pd.DataFrame(out, columns=["url", "template", "raw", "error"])
 
     kind = F.coalesce("page_template_type", urls.template(F.col("url")))
-    return records.select("url", kind.alias("template")).mapInPandas(run, "url string, template string, raw string, error string")
+    asked = records.select("url", kind.alias("template"))
+    return (asked.repartition(tasks) if per_minute > 0 else asked).mapInPandas(run, "url string, template string, raw string, error string")
 
 
 def checked(results: DataFrame, family: str) -> DataFrame:

@@ -78,6 +78,25 @@ def compile_constraint(spec: dict) -> Constraint:
     return Constraint(spec["type"], spec["field"], KINDS[spec["type"]](spec))
 
 
+#: A selector proposes a field's candidates: from nodes to (page_id, node_id, text, score, x, y, w, h).
+Selector = Callable[[DataFrame], DataFrame]
+
+
+def by_score(score: str) -> Selector:
+    """The plain selector: every node, with a column of its as the score."""
+    return lambda nodes: nodes.select("page_id", F.col("node_idx").cast("string").alias("node_id"), "text", F.col(score).cast("double").alias("score"), "x", "y", "w", "h")
+
+
+def propose(nodes: DataFrame, selectors: dict[str, Selector]) -> DataFrame:
+    """The candidates of all fields, each field's by descending score; `pos` counts from 0, ties by node id."""
+    order = Window.partitionBy("page_id", "field").orderBy(F.desc_nulls_last("score"), F.length("node_id"), "node_id")
+    every = None
+    for name, select in selectors.items():
+        rows = select(nodes).select("page_id", F.lit(name).alias("field"), "node_id", "text", "score", "x", "y", "w", "h")
+        every = rows if every is None else every.unionByName(rows)
+    return every.withColumn("pos", (F.row_number().over(order) - 1).cast("int"))
+
+
 def solve(candidates: DataFrame, schema: Schema) -> DataFrame:
     """(page_id, field, node_id, text, confidence): each field's best admissible candidate.
 

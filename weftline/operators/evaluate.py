@@ -46,6 +46,20 @@ def recalls(rows: DataFrame, truth: str, guess: str) -> DataFrame:
     return rows.groupBy(F.col(truth).alias("class")).agg(F.count("*").alias("support"), F.count_if(F.col(truth) == F.col(guess)).alias("hits")).withColumn("recall", F.coalesce(F.try_divide(F.col("hits").cast("double"), "support"), F.lit(0.0)))
 
 
+def first_predicted(nodes: DataFrame, predicted: str = "predicted") -> DataFrame:
+    """(page_id, title_ok, price_ok, both_ok) of a classifier alone, without priors or constraints.
+
+    A page's title and price are its first nodes of that class (of `predicted`, as LABELS numbers them);
+    they hold if they contain the first 15 or 6 characters of the labelled one. Pages without a label for a
+    field don't hold it.
+    """
+    first = lambda ok: F.coalesce(F.min(F.when(ok, F.struct("node_idx", "text")))["text"], F.lit(""))
+    found = nodes.groupBy("page_id").agg(*(first(F.col(predicted) == LABELS[k]).alias(f"got_{k}") for k in ("title", "price")), *(first(F.col("label") == k).alias(f"want_{k}") for k in ("title", "price")))
+    t = matches(F.col("want_title"), F.col("got_title"), 15, drop_currency=False)
+    p = matches(F.col("want_price"), F.col("got_price"), 6, lower=False, drop_currency=False)
+    return found.select("page_id", t.alias("title_ok"), p.alias("price_ok"), (t & p).alias("both_ok"))
+
+
 def label_counts(nodes: DataFrame) -> DataFrame:
     """(page_id, titles, prices, others, saveable): a page is saved with one title and one price."""
     counted = nodes.groupBy("page_id").agg(F.count_if(F.col("label") == "title").alias("titles"), F.count_if(F.col("label") == "price").alias("prices"), F.count_if(~F.col("label").isin("title", "price")).alias("others"))

@@ -153,6 +153,26 @@ def artifact_nodes(artifacts: DataFrame) -> DataFrame:
     return kept.select("artifact_id", idx.cast("int").alias("node_idx"), "text", "tag", *(F.col("box")[i].alias(c) for i, c in enumerate("xywh")))
 
 
+#: The size of a page that doesn't tell its own.
+PAGE_SIZE = (1920.0, 1080.0)
+
+
+def page_size(artifacts: DataFrame) -> DataFrame:
+    """(artifact_id, width, height) of the first element whose type ends in `Page`, in document order.
+
+    A side that is missing, zero or no number is that of PAGE_SIZE; so are both without such an element.
+    """
+    graph = F.try_variant_get(F.try_parse_json("doc"), "$.@graph", "array<variant>")
+    nested = F.try_variant_get("g", "$.@graph", "array<variant>")
+    items = artifacts.select("artifact_id", F.posexplode(graph).alias("outer", "g")).select("artifact_id", "outer", F.posexplode(F.coalesce(nested, F.array("g"))).alias("inner", "item"))
+    fields = items.select("artifact_id", "outer", "inner", F.try_variant_get("item", "$", "map<string,variant>").alias("m")).where("m IS NOT NULL")
+    side = lambda suffix: F.nullif(_unwrap(F.get(F.filter(F.map_entries("m"), lambda e: e["key"].endswith(suffix)), F.lit(0))["value"]).try_cast("double"), F.lit(0.0))
+    pages = fields.where(_unwrap(F.try_element_at("m", F.lit("@type"))).endswith("Page"))
+    first = pages.groupBy(F.col("artifact_id").alias("p_artifact")).agg(F.min_by(F.struct(side("width").alias("w"), side("height").alias("h")), F.struct("outer", "inner")).alias("s"))
+    hit = artifacts.select("artifact_id").join(first, F.col("artifact_id") == F.col("p_artifact"), "left")
+    return hit.select("artifact_id", F.coalesce("s.w", F.lit(PAGE_SIZE[0])).alias("width"), F.coalesce("s.h", F.lit(PAGE_SIZE[1])).alias("height"))
+
+
 def artifact_for(artifacts: DataFrame, source_url: str, base: str) -> DataFrame:
     """(uri) of the last artifact (ordinal, id, source_url) of a url; the prefix `r:` is written out."""
     uri = F.regexp_replace("id", "^r:", base)
