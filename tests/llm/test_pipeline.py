@@ -133,3 +133,21 @@ def test_runs_side_by_side_keep_their_tables(spark):
     assert len(a) == len(b) == 1 and two.count() == 5
     with pytest.raises(Exception):
         one.count()
+
+
+def test_workers_get_texts_in_batches_of_bounded_bytes(spark):
+    import pyarrow as pa
+
+    from weftline.llm.common import BATCH_BYTES, bounded
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    bounded(spark)
+    longest = 1_500_000  # and one row of more than a batch
+    texts = spark.range(0, 9, 1, 1).select(F.repeat(F.lit("x"), F.when(F.col("id") == 4, 6_000_000).otherwise(longest).cast("int")).alias("text"))
+    got = texts.mapInArrow(run, "n long, bytes long").collect()
+    assert sum(r["n"] for r in got) == 9
+    assert all(r["n"] == 1 or r["bytes"] < BATCH_BYTES + 6_000_100 for r in got) and len(got) >= 3
+    assert max(r["n"] for r in got) <= -(-BATCH_BYTES // longest)

@@ -18,12 +18,25 @@ from pyspark.sql import functions as F
 #: of these bytes isn't learnt from.
 SAMPLE_PER_CLASS = 4000
 SAMPLE_BYTES = 32_000_000
+#: Bytes of a batch that a Python worker gets at once, but for a single row of more, unless the session says otherwise.
+BATCH_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_BYTES where it has no bound of its own.
+
+    Spark's default counts rows only: 10,000 texts of any length, held in the JVM and in a worker at once.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see (spark.checkpoint.dir).
 
@@ -66,6 +79,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     them, and rows keep the values they had when written. The files go when the session ends.
     """
     spark = df.sparkSession
+    bounded(spark)
     path = f"{shared_dir(spark)}/weftline/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     paths = _made.get()
