@@ -161,10 +161,14 @@ def checked(results: DataFrame, family: str) -> DataFrame:
 
 
 def documents(records: DataFrame, results: DataFrame, at: str, model: str, provider: str) -> DataFrame:
-    """One document for each result of a record: key, record, payload, and how it came about."""
-    r = records.select("url", F.col("Confirmed").alias("c"), F.col("lastmod").alias("lm"))
+    """One document for each result of a record: key, record, payload, and how it came about.
+
+    Of several records of a url the greatest (Confirmed, lastmod) counts, so repeated urls make no pairs;
+    a result without a url belongs to the records without one.
+    """
+    known = records.groupBy(F.col("url").alias("of")).agg(F.max(F.struct(F.col("Confirmed").alias("c"), F.col("lastmod").alias("lm"))).alias("r"))
     kind = F.col("template")
-    return results.join(r, "url").select(
+    return results.join(known.select("of", "r.c", "r.lm"), F.col("url").eqNullSafe(F.col("of"))).select(
         urls.document_id(F.col("url")).alias("_id"), "url", F.coalesce("c", F.lit(False)).alias("confirmed"), F.col("lm").alias("lastmod"),
         kind.alias("page_template_type"), F.lit(at).alias("last_scraped"), F.col("payload").alias("meme"),
         F.struct(F.lit(provider).alias("provider"), F.lit(model).alias("model"), urls.family(kind).alias("schema_family"), F.col("error").isNull().alias("ok"), F.col("error").alias("error"), F.lit(at).alias("annotated_at")).alias("_annotation"),
