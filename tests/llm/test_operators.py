@@ -35,6 +35,15 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def test_bpe_by_ranks_equals_the_vocabulary_on_very_long_white_space(spark):
+    texts = ["a " + " " * 1_000_000, "\n" * 1_000_000 + "b <|endoftext|> é", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(bpe.Vocabulary.load(bpe.default_vocabulary()).encode(texts)))
+    assert {r["doc_id"]: r["ids"] for r in bpe.encode(docs).collect()} == want
+    assert {r["doc_id"]: r["ids"] for r in bpe.encode(docs, bpe.default_vocabulary()).collect()} == want
+    assert {r["doc_id"]: r["tokens"] for r in packing.counted(docs).collect()} == {i: len(x) + 1 for i, x in want.items()}
+
+
 def test_bpe_agrees_with_ranks_and_decodes(spark):
     import public_tokenizers
     import tiktoken

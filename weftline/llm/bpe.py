@@ -1,8 +1,9 @@
 """Byte-level BPE: encode texts to token ids with offsets, decode ids to bytes and text.
 
-Encoding runs the `tokenizers` library over Arrow batches. Its vocabulary writes every byte as one
-printable character; `byte_of_char` rebuilds that table, so a token's true bytes, and with them the
-offset of every token in bytes and characters, follow from the ids alone.
+Encoding runs over Arrow batches: the `tiktoken` library over the ranks, or `tokenizers` over another
+vocabulary. A vocabulary writes every byte as one printable character; `byte_of_char` rebuilds that table,
+so a token's true bytes, and with them the offset of every token in bytes and characters, follow from the
+ids alone.
 """
 
 from __future__ import annotations
@@ -38,17 +39,35 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-@functools.cache
-def ranked(path: str):
-    """The encoder over a file of ranks: the same ids as the vocabulary's, without offsets, for counting."""
-    import base64
+class Ranked:
+    """An encoder over a file of ranks: the same ids as the vocabulary's, without offsets."""
 
-    import public_tokenizers
-    import tiktoken
+    def __init__(self, path: str):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.pattern = public_tokenizers.PATTERN
+        self.encoding = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    def encode_ordinary(self, text: str) -> list[int]:
+        try:
+            return self.encoding.encode_ordinary(text)
+        except BaseException as e:
+            if type(e).__name__ != "PanicException":
+                raise
+        # the library's own matching gives up on about a million white spaces in a row; its merging doesn't
+        import regex
+
+        return [i for found in regex.finditer(self.pattern, text) for i in self.encoding._encode_single_piece(found[0])]
+
+
+@functools.cache
+def ranked(path: str) -> Ranked:
+    return Ranked(path)
 
 
 def byte_of_char() -> dict[str, int]:
@@ -166,7 +185,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False
     A null text counts as empty and has no ids. Rows stay one to one, also repeated ones and those
     without an id; other columns, whatever their names, are left behind. Texts are never cut.
     """
-    path = vocabulary or default_vocabulary()
+    path, ranks = vocabulary or default_vocabulary(), default_ranks()
     more = ", byte_start array<int>, char_start array<int>, char_end array<int>" if offsets else ""
     kind = dict(docs.dtypes)[id_col]
 
@@ -174,7 +193,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, offsets: bool = False
         words = Vocabulary.load(path)
         for batch in (part for whole in batches for part in _chunks(whole)):
             texts = batch.column(1).to_pylist()
-            ids = words.encode(texts)
+            ids = words.encode(texts) if vocabulary else [*map(ranked(ranks).encode_ordinary, texts)]
             columns = [batch.column(0), _list_array(ids)]
             names = ["doc_id", "ids"]
             if offsets:
