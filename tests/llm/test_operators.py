@@ -206,6 +206,28 @@ def test_classifiers_on_held_out_labels(spark):
     assert sum(r[0] for r in good) / len(good) > 0.97
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    rng = random.Random(5)
+    make = lambda good: " ".join(rng.choice(["plain", "words", "tell", "it", "well"] if good else ["xq", "zz", "!!", "buy", "##"]) for _ in range(30))
+    rows = [(i, make(i % 3 > 0)) for i in range(1500)] + [(1500, "plain words " * 250_000), (1501, None)]
+    docs = spark.createDataFrame([*rows, (3, "plain " * 90), (None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in rows] + [(3, None), (None, 1)], "doc_id long, quality int")
+    mine = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    got = quality.labelled(docs, labels).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(mine) and all(r["y"] == int(r["doc_id"] % 3 > 0) for r in got)
+    assert 1500 in mine or 1501 in mine  # the long text or the missing one
+    monkeypatch.setattr(quality, "LEAST_ROWS", 100)
+    seen = []
+    monkeypatch.setattr(quality, "_cut", lambda m, grid, kept, caught, spread, f=quality._cut: (seen.append((kept, caught)), f(m, grid, kept, caught, spread))[1])
+    for block_rows in (8000, 200):
+        model = quality.train(docs, labels, block_rows)
+        known = [(r["doc_id"] % 3 > 0, r["score"] >= quality.CUT) for r in quality.score(docs.where("doc_id < 1500"), model).collect()]
+        assert sum(a == b for a, b in known) / len(known) > 0.99
+    for kept, caught in seen:  # shares of all rows of a class, not of some
+        good = sum(i % 3 > 0 for i in mine)
+        assert np.allclose(kept * good, np.round(kept * good)) and np.allclose(caught * (len(mine) - good), np.round(caught * (len(mine) - good)))
+
+
 def test_quality_awkward_rows(spark):
     docs = awkward(spark)
     model = quality.fit(np.zeros((0, len(quality.NAMES))), [], np.zeros(0))

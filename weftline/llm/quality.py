@@ -2,8 +2,8 @@
 
 Each pair holds a text labelled good and one labelled bad; P(good preferred) is the logistic of the
 difference of their scores, and a score is linear in the text's features: figures of the whole text with
-hinges, its hashed words and its hashed character trigrams. The cut is the quantile of the sample's scores
-that separates best; a monotone logistic map puts it at a fixed probability.
+hinges, its hashed words and its hashed character trigrams. The cut is the quantile of the labelled texts'
+scores that separates best; a monotone logistic map puts it at a fixed probability.
 """
 
 from __future__ import annotations
@@ -18,18 +18,24 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import SAMPLE_PER_CLASS, handed_back, labelled_sample, slices
+from weftline.llm.common import durable, handed_back, held_out, slices
 from weftline.llm.linear import Rows, proximal
 
 #: What the quantile cut maps to.
 CUT = 0.3
 #: Where the cut lies in the range of equally good quantiles: nearer to the bad texts, as good ones vary more.
 LEAN = 0.25
-#: Preference pairs drawn from the sample.
+#: Preference pairs in a block, or the rows of its larger class if these are more.
 PAIRS = 60_000
+#: Rows of the larger class in a block, about, entries of hashed features of all rows in one, and rows of
+#: the smaller class at least, if there are so many.
+BLOCK_ROWS, BLOCK_ENTRIES, LEAST_ROWS = 8000, 6_000_000, 1000
+#: Shares of good texts below the knots, quantiles among which the cut is sought, and the accuracy of quantiles.
+BENDS, GRID, ACCURACY = (0.05, 0.5, 0.95), 401, 10_000
 #: Places of hashed words and of hashed character trigrams.
 GRAM_BITS = 11
 WORD_PLACES, GRAM_PLACES = 1 << 14, 1 << GRAM_BITS
@@ -159,24 +165,18 @@ def _hinges(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     return np.concatenate(parts, axis=1)
 
 
-def fit(figures: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, pairs: int = PAIRS, rounds: int = 300, seed: int = 7) -> Model:
-    """Fit on evidence and labels: logistic loss of score differences over `pairs` drawn pairs.
+def _weights(h: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, pairs: int = PAIRS, rounds: int = 300, seed: int = 7) -> np.ndarray:
+    """Weights of standard hinges and of places, by the logistic loss of score differences over pairs.
 
-    With one class only, every text scores that class's smoothed share.
+    Every row is in a pair: both classes are dealt in turn to `pairs` pairs, or to as many as the larger has rows.
     """
-    width, places = len(NAMES), WORD_PLACES + GRAM_PLACES
-    if not len(y) or y.min() == y.max():
-        share = (float(np.sum(y)) + 0.5) / (len(y) + 1)
-        flat = math.log(share / (1 - share)) - math.log(CUT / (1 - CUT))
-        return Model(np.zeros((width, 0)), np.ones(width), np.zeros(width), np.zeros(places), -flat, 1.0)
+    places = WORD_PLACES + GRAM_PLACES
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    knots = np.stack([np.quantile(figures[good], q, axis=0) for q in (0.05, 0.5, 0.95)], axis=1)
-    h = _hinges(figures, knots)
-    scale = np.maximum(h.std(axis=0), 1e-6)
-    h = np.clip((h - h.mean(axis=0)) / scale, -8, 8)
-    rows = Rows(np.array([len(p) for p, _ in sparse]), np.concatenate([p for p, _ in sparse]), np.concatenate([v for _, v in sparse]), places)
+    rows = Rows(np.array([len(p) for p, _ in sparse]), np.concatenate([p for p, _ in sparse]).astype(np.intp), np.concatenate([v for _, v in sparse]).astype(float), places)
     rng = np.random.default_rng(seed)
-    a, b = good[rng.integers(len(good), size=pairs)], bad[rng.integers(len(bad), size=pairs)]
+    pairs = max(pairs, len(good), len(bad))
+    deal = lambda x: np.concatenate([rng.permutation(x) for _ in range(-(-pairs // len(x)))])[:pairs]
+    a, b = deal(good), deal(bad)
     l2 = np.concatenate([np.full(h.shape[1], FIGURE_L2), np.full(places, HASHED_L2)])
 
     def scores(w: np.ndarray) -> np.ndarray:
@@ -195,45 +195,156 @@ def fit(figures: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.
         s = scores(w)
         return gather(w, 0.25 * (s[a] - s[b]) / pairs)
 
-    w = proximal(gradient, curvature, np.ones(len(l2)), np.zeros(len(l2)), rounds=rounds, tolerance=5e-4)
-    weights, hashed_weights = w[: h.shape[1]], w[h.shape[1] :]
-    model = Model(knots, scale, weights, hashed_weights, 0.0, 1.0)
-    s = model.preference(figures, sparse)
-    grid = np.quantile(s, np.linspace(0, 1, 401))
-    sg, sb = np.sort(s[good]), np.sort(s[bad])
-    kept, caught = 1 - np.searchsorted(sg, grid) / len(sg), np.searchsorted(sb, grid) / len(sb)
+    return proximal(gradient, curvature, np.ones(len(l2)), np.zeros(len(l2)), rounds=rounds, tolerance=5e-4)
+
+
+def _standard(figures: np.ndarray, knots: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((_hinges(figures, knots) - mean) / scale, -8, 8)
+
+
+def _constant(good: int, rows: int) -> Model:
+    """Every text scores the smoothed share of good ones."""
+    share = (good + 0.5) / (rows + 1)
+    flat = math.log(share / (1 - share)) - math.log(CUT / (1 - CUT))
+    width = len(NAMES)
+    return Model(np.zeros((width, 0)), np.ones(width), np.zeros(width), np.zeros(WORD_PLACES + GRAM_PLACES), -flat, 1.0)
+
+
+def _cut(model: Model, grid: np.ndarray, kept: np.ndarray, caught: np.ndarray, spread: float) -> Model:
+    """`model` with the cut at a score of `grid` from which on most good texts are kept and bad ones caught."""
     gain = kept + caught
     best = np.flatnonzero(gain >= gain.max() - 1e-9)
     cut = float(grid[best[0]] + LEAN * (grid[best[-1]] - grid[best[0]]))
-    spread = max(1e-6, float(np.median(sg) - np.median(sb)))
-    return Model(knots, scale, weights, hashed_weights, cut, 8 / spread)
+    return Model(model.knots, model.scale, model.weights, model.hashed, cut, 8 / max(1e-6, spread))
+
+
+def fit(figures: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, pairs: int = PAIRS, rounds: int = 300, seed: int = 7) -> Model:
+    """Fit on all of some evidence and its labels, which are held at once; `train` does so by blocks.
+
+    With one class only, every text scores that class's smoothed share.
+    """
+    if not len(y) or y.min() == y.max():
+        return _constant(int(np.sum(y)), len(y))
+    knots = np.stack([np.quantile(figures[y == 1], q, axis=0) for q in BENDS], axis=1)
+    h = _hinges(figures, knots)
+    scale = np.maximum(h.std(axis=0), 1e-6)
+    w = _weights(_standard(figures, knots, h.mean(axis=0), scale), sparse, y, pairs, rounds, seed)
+    model = Model(knots, scale, w[: h.shape[1]], w[h.shape[1] :], 0.0, 1.0)
+    s = model.preference(figures, sparse)
+    grid = np.quantile(s, np.linspace(0, 1, GRID))
+    sg, sb = np.sort(s[y == 1]), np.sort(s[y == 0])
+    kept, caught = 1 - np.searchsorted(sg, grid) / len(sg), np.searchsorted(sb, grid) / len(sb)
+    return _cut(model, grid, kept, caught, float(np.median(sg) - np.median(sb)))
+
 
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Figures, hashed features and labels of a batch with the columns figures, places, vals and y."""
+    flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum([0, *pc.list_value_length(batch.column("places")).to_pylist()])
+    places, values = flat("places"), flat("vals")
+    sparse = [(places[i:j], values[i:j]) for i, j in zip(ends, ends[1:])]
+    return flat("figures").reshape(batch.num_rows, len(NAMES)), sparse, batch.column("y").to_numpy(zero_copy_only=False)
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Learn `labels.quality` from at most `per_class` rows of each class outside the held-out fold.
 
-    Features are computed where the texts are; the driver gets the sample's figures and hashed features,
-    which the sample's bounds and the number of places bound. Null texts are empty; without labels, or
-    with labels of one class, the model is a constant; how often an id is repeated doesn't matter.
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, y, figures, places, vals) of every labelled text outside the held-out fold.
+
+    Rows without an id or without the label take no part; several labels of one id count as their maximum,
+    and of several rows of one id the shortest text counts (the smallest of these). Null texts are empty.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            figures, sparse = evidence(batch.column(1).to_pylist())
+        for batch in slices(batches, 200):
+            figures, sparse = evidence(batch.column(2).to_pylist())
             columns = [
-                batch.column(0), pa.array(list(figures), type=pa.list_(pa.float64())),
-                pa.array([p for p, _ in sparse], type=pa.list_(pa.int32())), pa.array([v for _, v in sparse], type=pa.list_(pa.float32())), batch.column(2),
+                batch.column(0), batch.column(1), pa.array(list(figures), type=pa.list_(pa.float64())),
+                pa.array([p for p, _ in sparse], type=pa.list_(pa.int32())), pa.array([v for _, v in sparse], type=pa.list_(pa.float32())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "figures", "places", "vals", "y"])
-
-    kind = dict(docs.dtypes)["doc_id"]
-    rows = labelled_sample(docs, labels, "quality", per_class).select("doc_id", "text", "y").mapInArrow(run, f"doc_id {kind}, figures array<double>, places array<int>, vals array<float>, y int").toArrow()
-    rows = rows.sort_by([("y", "ascending"), ("doc_id", "ascending")]).combine_chunks()  # the sums don't depend on the order of tasks
-    n = rows.num_rows
-    flat = lambda c: rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    places, values, figures = flat("places"), flat("vals"), flat("figures").reshape(n, len(NAMES))
-    ends = np.cumsum([0, *(len(x) for x in rows["places"])])
-    return fit(figures, [(places[i:j], values[i:j]) for i, j in zip(ends, ends[1:])], np.array(rows["y"].to_pylist(), dtype=int))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "figures", "places", "vals"])
+
+    usable = F.col("doc_id").isNotNull() & ~held_out()
+    known = labels.where(usable & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y")).where(F.col("y").isin(0, 1))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.where(usable).select("doc_id", F.struct(F.octet_length(text).alias("bytes"), text.alias("text")).alias("t")).join(known, "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("t").alias("t")).select("doc_id", "y", "t.text")
+    return one.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, figures array<double>, places array<int>, vals array<float>")
+
+
+def train(docs: DataFrame, labels: DataFrame, block_rows: int = BLOCK_ROWS) -> Model:
+    """Learn `labels.quality` from all labelled rows outside the held-out fold.
+
+    Knots, means and scales are those of all these rows. Weights are fitted on blocks of rows, each with
+    about `block_rows` of the larger class and its share of the smaller one, and averaged by the rows of
+    the blocks; every row is in one block, but those of a small class, of which a block has at least
+    about LEAST_ROWS or all, can be in several. The cut is the best quantile of all rows' scores. Quantiles
+    are off by one in 10,000 of the ranks at most. The driver gets a model for each block, one at a time.
+
+    Null texts are empty; without labels, or with labels of one class, the model is a constant; how often
+    an id is repeated doesn't matter.
+    """
+    rows = durable(labelled(docs, labels), "evidence")
+    found = {r["y"]: r for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.size("places").cast("long")).alias("entries")).collect()}
+    if len(found) < 2:
+        return _constant(sum(r["n"] for y, r in found.items() if y == 1), sum(r["n"] for r in found.values()))
+    width = len(NAMES)
+    asked = F.array(*map(F.lit, BENDS))
+    near = rows.where("y = 1").agg(*(F.percentile_approx(F.col("figures")[i], asked, ACCURACY).alias(f"f{i}") for i in range(width))).first()
+    knots = np.array([list(near[i]) for i in range(width)], dtype=float)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, one, two = 0, np.zeros(width * (1 + len(BENDS))), np.zeros(width * (1 + len(BENDS)))
+        for batch in handed_back(batches):
+            h = _hinges(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, width), knots)
+            n, one, two = n + len(h), one + h.sum(axis=0), two + (h * h).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([list(one)]), pa.array([list(two)])], names=["n", "one", "two"])
+
+    sums = rows.select("figures").mapInArrow(moments, "n long, one array<double>, two array<double>").collect()
+    total = sum(r["n"] for r in sums)
+    mean = np.sum([r["one"] for r in sums], axis=0) / total
+    scale = np.maximum(np.sqrt(np.maximum(np.sum([r["two"] for r in sums], axis=0) / total - mean * mean, 0)), 1e-6)
+
+    many, few = sorted((0, 1), key=lambda y: -found[y]["n"])
+    blocks = max(-(-found[many]["n"] // block_rows), -(-(found[many]["entries"] + found[few]["entries"]) // BLOCK_ENTRIES))
+    groups = max(1, min(blocks, found[few]["n"] // LEAST_ROWS))
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
+    at = F.when(F.col("y") == many, F.array(own(blocks))).otherwise(F.sequence(own(groups), F.lit(blocks - 1), F.lit(groups)))
+
+    def weigh(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("y", "ascending"), ("doc_id", "ascending")]).combine_chunks()  # sums don't depend on the order of tasks
+        figures, sparse, y = _lists(block.to_batches()[0])
+        # a class can be missing by chance of the hash, in blocks of very few rows only
+        w = _weights(_standard(figures, knots, mean, scale), sparse, y) if 0 < y.sum() < len(y) else np.zeros(0)
+        return pa.table({"n": pa.array([len(y) if len(w) else 0]), "w": pa.array([list(w)], type=pa.list_(pa.float64()))})
+
+    fits = durable(rows.withColumn("block", F.explode(at)).groupBy("block").applyInArrow(weigh, "n long, w array<double>"), "fits")
+    n, w = 0, np.zeros(len(mean) + WORD_PLACES + GRAM_PLACES)
+    for r in fits.where("n > 0").toLocalIterator():
+        n, w = n + r["n"], w + r["n"] * np.array(r["w"])
+    if not n:
+        return _constant(found[1]["n"], total)
+    model = Model(knots, scale, w[: len(mean)] / n, w[len(mean) :] / n, 0.0, 1.0)
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            figures, sparse, _ = _lists(batch)
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(model.preference(figures, sparse))], names=["y", "s"])
+
+    scores = durable(rows.select("y", "figures", "places", "vals").mapInArrow(rated, "y int, s double"), "scores")
+    grid = np.array(scores.agg(F.percentile_approx("s", F.array(*map(F.lit, np.linspace(0, 1, GRID).tolist())), ACCURACY)).first()[0])
+    middle = {r["y"]: r["m"] for r in scores.groupBy("y").agg(F.percentile_approx("s", 0.5, ACCURACY).alias("m")).collect()}
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each class how many scores lie below each of the grid's."""
+        below = np.zeros((2, GRID), dtype=np.int64)
+        for batch in handed_back(batches):
+            y, s = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for k in (0, 1):
+                below[k] += np.searchsorted(np.sort(s[y == k]), grid)
+        yield pa.RecordBatch.from_arrays([pa.array([list(below[0])]), pa.array([list(below[1])])], names=["bad", "good"])
+
+    below = scores.mapInArrow(counted, "bad array<long>, good array<long>").collect()
+    bad, good = (np.sum([r[k] for r in below], axis=0) for k in ("bad", "good"))
+    return _cut(model, grid, 1 - good / found[1]["n"], bad / found[0]["n"], float(middle[1] - middle[0]))
 
 
 def scorer(model: Model):
