@@ -228,6 +228,13 @@ def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
         assert np.allclose(kept * good, np.round(kept * good)) and np.allclose(caught * (len(mine) - good), np.round(caught * (len(mine) - good)))
 
 
+def test_packed_features_come_back():
+    for text in ("", "one", "é日本🎉 " * 40_000, " ".join(str(i) for i in range(30_000)) + " a" * 999):
+        place, value = quality.evidence([text])[1][0]
+        got = quality.unpacked(quality.packed(place, value), len(place))
+        assert (got[0] == place).all() and (got[1] == value.astype(np.float32)).all()
+
+
 def test_quality_awkward_rows(spark):
     docs = awkward(spark)
     model = quality.fit(np.zeros((0, len(quality.NAMES))), [], np.zeros(0))

@@ -8,8 +8,10 @@ scores that separates best; a monotone logistic map puts it at a fixed probabili
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -18,7 +20,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,29 @@ _ODD = re.compile(r"[^\w\s.,;:'\"()?-]")
 _DIGITS = re.compile(r"\d")
 _ENDS = re.compile(r"[.?](?=\s|$)")
 
+@functools.cache
+def _classes() -> np.ndarray:
+    """For each code point a bit for each of letters, capitals, marks, odd ones and digits."""
+    points = [i for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    every, at = "".join(map(chr, points)), np.array(points)
+    out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    for bit, kind in enumerate((_LETTERS, _UPPER, _MARKS, _ODD, _DIGITS)):
+        out[at[np.fromiter((m.start() for m in kind.finditer(every)), np.int64)]] |= 1 << bit
+    return out
+
+
+def _counts(text: str) -> list[int]:
+    """How many letters, capitals, marks, odd characters and digits the whole text has."""
+    total = np.zeros(32, dtype=np.int64)
+    for at in range(0, len(text), CHUNK):
+        points = np.frombuffer(text[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        total += np.bincount(_classes()[points], minlength=32)
+    return [int(total[_HAS[bit]].sum()) for bit in range(5)]
+
+
+#: The combinations of classes that have each of them.
+_HAS = [[k for k in range(32) if k >> bit & 1] for bit in range(5)]
+
 NAMES = (
     "log_words", "word_length", "distinct", "top_share", "stutter", "upper", "marks", "odd", "odd_words",
     "digits", "shouted", "sentence_words", "bare_lines", "long_words", "line_repeats", "short_words",
@@ -69,7 +93,7 @@ def _figures(text: str, words: list[str], counts: Counter) -> list[float]:
         return [0.0] * len(NAMES)
     chars = max(1, len(text))
     lines = [x for x in text.split("\n") if x.strip()]
-    letters = len(_LETTERS.findall(text)) or 1
+    letters, capitals, marks, odd, digits = _counts(text)
     sizes = [len(w) for w in words]
     # a word or two come again in any short text: only what is beyond counts
     stutter = max(0, sum(map(str.__eq__, words, words[1:])) - 1) / n
@@ -79,11 +103,11 @@ def _figures(text: str, words: list[str], counts: Counter) -> list[float]:
         len(counts) / n ** 0.8,
         max(0, max(counts.values()) - 2) / n,
         stutter,
-        len(_UPPER.findall(text)) / letters,
-        len(_MARKS.findall(text)) / chars,
-        len(_ODD.findall(text)) / chars,
+        capitals / (letters or 1),
+        marks / chars,
+        odd / chars,
         sum(1 for w in words if not w[-1].isalnum() and _ODD.match(w[-1])) / n,
-        len(_DIGITS.findall(text)) / chars,
+        digits / chars,
         sum(1 for w in words if len(w) > 1 and w.isupper()) / n,
         min(60.0, n / (1 + len(_ENDS.findall(text)))),
         sum(1 for x in lines if x.rstrip()[-1] not in ".?!:\"')") / len(lines),
@@ -165,6 +189,24 @@ def _hinges(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     return np.concatenate(parts, axis=1)
 
 
+class _Evidence:
+    """Hashed features of some rows: words sparse, trigrams, of which a text has a good part, dense."""
+
+    def __init__(self, sparse: list[tuple[np.ndarray, np.ndarray]]):
+        words = [int(np.searchsorted(p, WORD_PLACES)) for p, _ in sparse]  # words' places come first, in order
+        self.grams = np.zeros((len(sparse), GRAM_PLACES), dtype=np.float32)
+        for row, ((p, v), n) in enumerate(zip(sparse, words, strict=True)):
+            self.grams[row, p[n:] - WORD_PLACES] = v[n:]
+        cols = np.concatenate([p[:n] for (p, _), n in zip(sparse, words)]).astype(np.intp)
+        self.words = Rows(np.array(words), cols, np.concatenate([v[:n] for (_, v), n in zip(sparse, words)]).astype(float), WORD_PLACES)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return self.words.times(w[:WORD_PLACES]) + self.grams @ w[WORD_PLACES:].astype(np.float32)
+
+    def back(self, g: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.words.back(g), g.astype(np.float32) @ self.grams])
+
+
 def _weights(h: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, pairs: int = PAIRS, rounds: int = 300, seed: int = 7) -> np.ndarray:
     """Weights of standard hinges and of places, by the logistic loss of score differences over pairs.
 
@@ -172,7 +214,7 @@ def _weights(h: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.n
     """
     places = WORD_PLACES + GRAM_PLACES
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    rows = Rows(np.array([len(p) for p, _ in sparse]), np.concatenate([p for p, _ in sparse]).astype(np.intp), np.concatenate([v for _, v in sparse]).astype(float), places)
+    rows = _Evidence(sparse)
     rng = np.random.default_rng(seed)
     pairs = max(pairs, len(good), len(bad))
     deal = lambda x: np.concatenate([rng.permutation(x) for _ in range(-(-pairs // len(x)))])[:pairs]
@@ -237,17 +279,29 @@ def fit(figures: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], y: np.
     return _cut(model, grid, kept, caught, float(np.median(sg) - np.median(sb)))
 
 
+def packed(place: np.ndarray, value: np.ndarray) -> bytes:
+    """Hashed features in few bytes: steps between places, and which of a text's few values each has (float32)."""
+    known, which = np.unique(value.astype(np.float32), return_inverse=True)
+    step = np.diff(place, prepend=0).astype(np.uint16)  # places are in order, and below 2 ** 16
+    raw = step.tobytes() + which.astype(np.uint16).tobytes() + known.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, entries: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = pa.decompress(data[4:], int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+    step, which = np.frombuffer(raw, np.uint16, 2 * entries).reshape(2, entries)
+    return np.cumsum(step, dtype=np.int32), np.frombuffer(raw, np.float32, offset=4 * entries)[which]
+
+
 def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """Figures, hashed features and labels of a batch with the columns figures, places, vals and y."""
-    flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum([0, *pc.list_value_length(batch.column("places")).to_pylist()])
-    places, values = flat("places"), flat("vals")
-    sparse = [(places[i:j], values[i:j]) for i, j in zip(ends, ends[1:])]
-    return flat("figures").reshape(batch.num_rows, len(NAMES)), sparse, batch.column("y").to_numpy(zero_copy_only=False)
+    """Figures, hashed features and labels of a batch with the columns figures, entries, hashed and y."""
+    figures = batch.column("figures").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(NAMES))
+    sparse = [*map(unpacked, batch.column("hashed").to_pylist(), batch.column("entries").to_pylist())]
+    return figures, sparse, batch.column("y").to_numpy(zero_copy_only=False)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, y, figures, places, vals) of every labelled text outside the held-out fold.
+    """(doc_id, y, figures, entries, hashed) of every labelled text outside the held-out fold.
 
     Rows without an id or without the label take no part; several labels of one id count as their maximum,
     and of several rows of one id the shortest text counts (the smallest of these). Null texts are empty.
@@ -258,16 +312,16 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
             figures, sparse = evidence(batch.column(2).to_pylist())
             columns = [
                 batch.column(0), batch.column(1), pa.array(list(figures), type=pa.list_(pa.float64())),
-                pa.array([p for p, _ in sparse], type=pa.list_(pa.int32())), pa.array([v for _, v in sparse], type=pa.list_(pa.float32())),
+                pa.array([len(p) for p, _ in sparse], type=pa.int32()), pa.array([packed(p, v) for p, v in sparse], type=pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "figures", "places", "vals"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "figures", "entries", "hashed"])
 
     usable = F.col("doc_id").isNotNull() & ~held_out()
     known = labels.where(usable & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y")).where(F.col("y").isin(0, 1))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.where(usable).select("doc_id", F.struct(F.octet_length(text).alias("bytes"), text.alias("text")).alias("t")).join(known, "doc_id")
     one = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("t").alias("t")).select("doc_id", "y", "t.text")
-    return one.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, figures array<double>, places array<int>, vals array<float>")
+    return one.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, figures array<double>, entries int, hashed binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, block_rows: int = BLOCK_ROWS) -> Model:
@@ -283,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, block_rows: int = BLOCK_ROWS) -> M
     an id is repeated doesn't matter.
     """
     rows = durable(labelled(docs, labels), "evidence")
-    found = {r["y"]: r for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.size("places").cast("long")).alias("entries")).collect()}
+    found = {r["y"]: r for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.col("entries").cast("long")).alias("entries")).collect()}
     if len(found) < 2:
         return _constant(sum(r["n"] for y, r in found.items() if y == 1), sum(r["n"] for r in found.values()))
     width = len(NAMES)
@@ -329,7 +383,7 @@ def train(docs: DataFrame, labels: DataFrame, block_rows: int = BLOCK_ROWS) -> M
             figures, sparse, _ = _lists(batch)
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(model.preference(figures, sparse))], names=["y", "s"])
 
-    scores = durable(rows.select("y", "figures", "places", "vals").mapInArrow(rated, "y int, s double"), "scores")
+    scores = durable(rows.select("y", "figures", "entries", "hashed").mapInArrow(rated, "y int, s double"), "scores")
     grid = np.array(scores.agg(F.percentile_approx("s", F.array(*map(F.lit, np.linspace(0, 1, GRID).tolist())), ACCURACY)).first()[0])
     middle = {r["y"]: r["m"] for r in scores.groupBy("y").agg(F.percentile_approx("s", 0.5, ACCURACY).alias("m")).collect()}
 
