@@ -727,6 +727,28 @@ def test_hot_passage_and_clashing_columns(spark):
     assert text[0] == rows[0][1] and all(text[i] == f"own {i} before\nown {i} after" for i in range(1, len(rows)))
 
 
+def test_copies_of_a_text_are_compared_once(spark, monkeypatch):
+    """Forty copies of a text cost the chunk bytes of two, and the first keeps what it keeps beside one copy."""
+    lines = [" ".join(f"c{i}.{k}" for k in range(12)) for i in range(30)]
+    write, sizes, first = linechunks.durable, {}, []
+
+    def counted(df, label):
+        out = write(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(linechunks, "durable", counted)
+    for copies in (2, 40):
+        part = "\n".join(["before", *lines[5:20], "after"])
+        rows = [(None, part), *((i, "\n".join(lines)) for i in range(copies)), (100, part), (100, part)]
+        text = sorted(((r["doc_id"], r["text"]) for r in linechunks.dedup(awkward(spark, rows)).collect()), key=repr)
+        assert (None, part) in text and text.count((100, "")) == 2  # the null id comes first
+        assert all(t == "" for i, t in text if i is not None and 0 < i < 100)
+        first += [t.split("\n") for i, t in text if i == 0]
+    assert first[0] == first[1] and {*lines[:5], *lines[20:]} <= {*first[0]} < {*lines}
+    assert sizes["chunk-bytes"][0] == sizes["chunk-bytes"][1] > 0
+
+
 def test_very_long_text_loses_its_lines(spark):
     lines = [f"line {i} of a text with very many lines" for i in range(40_000)]
     rows = [(1, "\n".join(lines)), (2, "\n".join(["first", *lines[100:39_000], "last"]))]

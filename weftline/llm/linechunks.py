@@ -12,6 +12,9 @@ occurrence that stays, the one of the smallest (doc_id, text hash, position). Th
 stays stay though other runs over them may go, so no passage is lost; those of a chunk too, unless it lies
 within a longer repeated passage, whose runs stay elsewhere. Within a text, what overlaps the first of
 equal runs there is no further occurrence.
+
+Copies of a whole text (of equal SHA-256) lose all their chunks and runs without a comparison of bytes, as
+those of the copy with the smallest id stay or go for all of them: the work grows with different texts.
 """
 
 from __future__ import annotations
@@ -223,6 +226,18 @@ def _salted(rows: DataFrame, each: DataFrame, hot: DataFrame, by: list[str]) ->
     return left.join(right, ["h1", "h2", "salt"]).drop("salt")
 
 
+def _twins(texts: DataFrame) -> DataFrame:
+    """(cid, ctk, head) of the texts that stand whole under another id too; `head` is true for the smallest (id, tk).
+
+    Whole texts are told apart by their SHA-256. Every chunk and run of a copy stands in its head, so a copy
+    loses all of them, and neither its rows nor its bytes need to meet those of other texts.
+    """
+    name = F.struct("id", "tk")
+    whole = durable(texts.where("text != ''").select("id", "tk", F.unhex(F.sha2("text", 256)).alias("whole")), "whole")
+    groups = whole.groupBy("whole").agg(F.min(name).alias("least"), F.max(name).alias("most")).where("NOT least <=> most").select("whole", "least")
+    return whole.join(groups, "whole").select(F.col("id").alias("cid"), F.col("tk").alias("ctk"), name.eqNullSafe(F.col("least")).alias("head")).distinct()
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tk, spans, cut): for each text with chunks or runs that occur before, their ranges of lines.
 
@@ -233,13 +248,17 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tk"), "text")
-    found = durable(texts.mapInArrow(_hash_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long"), "chunks")
+    twins = durable(_twins(texts), "twins")
+    chunk = texts.mapInArrow(_hash_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long")
+    chunk = chunk.join(twins, F.col("id").eqNullSafe(F.col("cid")) & (F.col("tk") == F.col("ctk")), "left").select(*chunk.columns, "head")
+    chunk = durable(chunk, "chunks")
+    found, copied = chunk.where("head IS NULL OR head"), chunk.where("NOT head")
     place = F.struct("id", "tk", "a")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("NOT first <=> last").drop("last")
-    first = durable(first, "repeats")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"), F.bool_or(F.col("head").isNotNull()).alias("twin"))
+    first = durable(first.where("twin OR NOT first <=> last").drop("last", "twin"), "repeats")
     floor = max(HOT_ROWS, found.count() // HOT_SHARE)
     hot = durable(first.where(F.col("n") > floor).select("h1", "h2"), "hot")
-    met = _salted(found, first.drop("n"), hot, ["id", "tk", "a"])
+    met = _salted(found.drop("head"), first.drop("n"), hot, ["id", "tk", "a"])
     wanted = (
         met.select("id", "tk", "a", "b", "h1", "h2", place.eqNullSafe(F.col("first")).alias("keeper"), F.xxhash64("first.id", "first.tk", F.col("first.a") - F.col("a")).alias("source"))
         .groupBy("id", "tk").agg(F.collect_set(F.struct("a", "b", "h1", "h2", "keeper", "source")).alias("wanted"))  # a text's own chunks
@@ -250,6 +269,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = durable(data.where("keeper").groupBy("h1", "h2").agg(F.min("data").alias("kept")), "kept-bytes")
     same = _salted(data.where("NOT keeper"), kept, hot, ["id", "tk", "a"]).where(F.col("data") == F.col("kept"))
     ranges = same.select("id", "tk", "a", "b", "source", F.lit(False).alias("keeper")).union(data.where("keeper").select("id", "tk", "a", "b", "source", "keeper"))
+    ranges = ranges.union(copied.select("id", "tk", "a", "b", F.lit(0).cast("long"), F.lit(False)))
     of = lambda keeper: F.collect_set(F.when(F.col("keeper") == keeper, F.struct("a", "b", "source")))
     both = ranges.groupBy("id", "tk").agg(of(False).alias("spans"), of(True).alias("stays")).where(F.size("spans") > 0)
     span = "array<struct<a:int,b:int>>"
