@@ -54,6 +54,15 @@ def test_artifacts_give_the_nodes_back(spark):
     assert got == want
 
 
+def test_artifacts_are_read_once(spark):
+    """Nodes and the rectangles they refer to come from one scan, without a join of the documents with themselves."""
+    from weftline.sources import readers
+
+    docs = spark.range(3).selectExpr("id AS artifact_id", "'{\"@graph\":[]}' AS doc")
+    plan = readers.artifact_nodes(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Range (") == 1
+
+
 def test_stream_equals_batch(spark):
     batch = {(str(r["template"]), r["seq"]): r["running_mean"] for r in registry.QUERIES["drift_history"](spark, SMALL).collect()}
     stream = {(r["template"], r["seq"]): r["running_mean"] for r in registry.QUERIES["drift_stream"](spark, SMALL).collect()}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import urls as u
@@ -123,6 +123,8 @@ def artifact_nodes(artifacts: DataFrame) -> DataFrame:
 
     Nodes are elements with bounds, in document order, at the top or inside one nested graph. Bounds are
     `x,y,w,h` text, a rectangle, or the id of one in the document; a node without four numbers goes.
+    The documents are read once: ids and references meet in one window, so artifacts that are dealt by
+    their id already aren't dealt again.
     """
     graph = F.try_variant_get(F.try_parse_json("doc"), "$.@graph", "array<variant>")
     nested = lambda g: F.try_variant_get(g, "$.@graph", "array<variant>")
@@ -136,19 +138,21 @@ def artifact_nodes(artifacts: DataFrame) -> DataFrame:
         "artifact_id", "outer", "inner", F.try_variant_get(F.try_element_at("m", F.lit("@id")), "$", "string").alias("iri"), _unwrap(value("text")).alias("text"), _unwrap(value("htmlTagName")).alias("tag"),
         value("bounds").alias("bounds"), F.array(number("positionX"), number("positionY"), number("width"), number("height")).alias("rect"),
     )
-    rects = flat.where("iri IS NOT NULL").groupBy("artifact_id", "iri").agg(F.max_by("rect", F.struct("outer", "inner")).alias("found")).select(F.col("artifact_id").alias("r_artifact"), F.col("iri").alias("r_iri"), "found")
     bound_text = F.when(~F.schema_of_variant("bounds").startswith("OBJECT"), F.try_variant_get("bounds", "$", "string"))
     ref = F.coalesce(F.try_variant_get("bounds", "$.@id", "string"), bound_text)
-    nodes = flat.where("bounds IS NOT NULL").withColumns({"bound_text": bound_text, "ref": ref})
+    # an element stands once under its own id and once, if it has bounds, under the one that it refers to
+    held, asks = F.struct(F.col("iri").alias("key"), F.col("rect")), F.struct(ref.alias("key"), F.lit(None).cast("array<double>").alias("rect"))
+    roles = F.filter(F.array(F.when(F.col("iri").isNotNull(), held), F.when(F.col("bounds").isNotNull(), asks)), lambda r: r.isNotNull())
+    met = flat.select("artifact_id", "outer", "inner", "text", "tag", bound_text.alias("bound_text"), F.explode(roles).alias("r")).select(
+        "artifact_id", "outer", "inner", "bound_text", "r.key", "r.rect", *(F.when(F.col("r.rect").isNull(), F.col(c)).alias(c) for c in ("text", "tag"))
+    )
+    order = F.struct("outer", "inner")
+    last = F.max_by("rect", F.when(F.col("rect").isNotNull(), order)).over(Window.partitionBy("artifact_id", "key"))
+    nodes = met.withColumn("found", last).where("rect IS NULL")
     parts = F.split(F.trim("bound_text"), r"[,\s]+")
     typed = F.when(F.size(parts) == 4, F.transform(parts, lambda s: s.try_cast("double")))
     whole = lambda a: F.when(~F.exists(a, lambda v: v.isNull()), a)
-    hit = nodes.join(rects, (F.col("artifact_id") == F.col("r_artifact")) & (F.col("ref") == F.col("r_iri")), "left")
-    box = F.coalesce(whole(typed), whole(F.col("found")))
-    order = F.struct("outer", "inner")
-    kept = hit.withColumn("box", box).where("box IS NOT NULL")
-    from pyspark.sql import Window
-
+    kept = nodes.withColumn("box", F.coalesce(whole(typed), whole(F.col("found")))).where("box IS NOT NULL")
     idx = F.row_number().over(Window.partitionBy("artifact_id").orderBy(order)) - 1
     return kept.select("artifact_id", idx.cast("int").alias("node_idx"), "text", "tag", *(F.col("box")[i].alias(c) for i, c in enumerate("xywh")))
 
