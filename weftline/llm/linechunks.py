@@ -233,8 +233,9 @@ def _twins(texts: DataFrame) -> DataFrame:
     loses all of them, and neither its rows nor its bytes need to meet those of other texts.
     """
     name = F.struct("id", "tk")
-    whole = durable(texts.where("text != ''").select("id", "tk", F.unhex(F.sha2("text", 256)).alias("whole")), "whole")
+    whole = texts.where("text != ''").select("id", "tk", F.unhex(F.sha2("text", 256)).alias("whole"))
     groups = whole.groupBy("whole").agg(F.min(name).alias("least"), F.max(name).alias("most")).where("NOT least <=> most").select("whole", "least")
+    groups = durable(groups, "copied")  # so that the join can split a text with very many copies
     return whole.join(groups, "whole").select(F.col("id").alias("cid"), F.col("tk").alias("ctk"), name.eqNullSafe(F.col("least")).alias("head")).distinct()
 
 
@@ -248,7 +249,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tk"), "text")
-    twins = durable(_twins(texts), "twins")
+    twins = _twins(texts)
     chunk = texts.mapInArrow(_hash_chunks, f"id {kind}, tk long, a int, b int, h1 long, h2 long")
     chunk = chunk.join(twins, F.col("id").eqNullSafe(F.col("cid")) & (F.col("tk") == F.col("ctk")), "left").select(*chunk.columns, "head")
     chunk = durable(chunk, "chunks")
