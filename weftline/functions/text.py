@@ -13,6 +13,8 @@ STOP_WORDS = (
     "prices and ratings",
 )
 _SPACE = " \t\n\r\x0b\x0c"
+#: Unicode's space separators.
+_SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
 
 def strip(s: Column) -> Column:
@@ -20,6 +22,11 @@ def strip(s: Column) -> Column:
     return F.btrim(s, F.lit(_SPACE))
 
 
+def strip_spaces(s: Column) -> Column:
+    """Without spaces of any width on either side."""
+    return F.btrim(s, F.lit(_SPACES))
+
+
 def price_format(text: Column) -> Column:
     """A currency right before or after digits."""
     return F.coalesce(text, F.lit("")).rlike(STRICT_PRICE)

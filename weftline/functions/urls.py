@@ -76,10 +76,10 @@ def namespace(path_: Column, prefixes=NAMESPACES) -> Column:
 
 
 def template(url: Column, templates: dict[str, str] | None = None) -> Column:
-    """The template by the first segment in lower case, else `unknown`."""
+    """The template by the first segment in lower case, else `unknown`; with no templates, always `unknown`."""
     first = F.lower(F.coalesce(F.try_element_at(path_segments(url), F.lit(1)), F.lit("")))
     out = F.lit("unknown")
-    for section, name in (templates or TEMPLATES).items():
+    for section, name in (TEMPLATES if templates is None else templates).items():
         out = F.when(first == section, name).otherwise(out)
     return out
 

@@ -106,7 +106,7 @@ def mock_title(url: Column) -> Column:
     """The last path segment in title case, dashes and underscores as spaces."""
     slug = F.element_at(F.split(F.rtrim(urls.path(url), F.lit("/")), "/"), -1)
     slug = F.when(F.coalesce(slug, F.lit("")) == "", "untitled").otherwise(slug)
-    return text.title_case(F.trim(F.translate(slug, "-_", "  ")))
+    return text.title_case(text.strip_spaces(F.translate(slug, "-_", "  ")))
 
 
 def mock_payload(url: Column, family: str) -> Column:
