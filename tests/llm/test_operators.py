@@ -14,8 +14,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, oracles, packing, quality, toxicity, urltree
-from weftline.llm.common import labelled_sample
+from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, oracles, packing, quality, queries, toxicity, urltree
+from weftline.llm.common import READ_ROWS, labelled_sample
 from weftline.llm.linear import sparse
 
 SMALL = "/root/testdata/sf0.001"
@@ -910,3 +910,13 @@ def test_components_of_long_chains(spark):
     for start in range(0, n, 100):
         part = [f"{x:04d}".encode() for x in order[start : start + 100]]
         assert {got[x] for x in part} == {min(part)}
+
+
+@needs_data
+def test_packing_query_reads_in_small_batches(spark):
+    setting = "spark.sql.parquet.columnarReaderBatchSize"
+    own, given = spark.newSession(), spark.newSession()
+    given.conf.set(setting, "300")
+    rows = [sorted(map(tuple, queries.op3_best_fit_packing(s, SMALL).collect())) for s in (own, given)]
+    assert rows[0] == rows[1] and len(rows[0]) >= own.read.parquet(f"{SMALL}/documents.parquet").count()
+    assert own.conf.get(setting) == str(READ_ROWS) and given.conf.get(setting) == "300"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import ann, bpe, flac, kdshards, linechunks, neardup, oracles, packing, quality, toxicity, urltree
-from weftline.llm.common import held_out, table
+from weftline.llm.common import held_out, read_in_small_batches, table
 
 
 def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence and offset of every piece of every document."""
+    read_in_small_batches(spark)
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
