@@ -920,3 +920,20 @@ def test_packing_query_reads_in_small_batches(spark):
     rows = [sorted(map(tuple, queries.op3_best_fit_packing(s, SMALL).collect())) for s in (own, given)]
     assert rows[0] == rows[1] and len(rows[0]) >= own.read.parquet(f"{SMALL}/documents.parquet").count()
     assert own.conf.get(setting) == str(READ_ROWS) and given.conf.get(setting) == "300"
+
+
+@needs_data
+def test_flac_query_takes_one_worker_a_task(spark):
+    docs = awkward(spark)
+    both = flac.decode(flac.encode(docs))
+    once = flac.round_trip(docs)
+    assert once.schema == both.schema
+    assert sorted(str(r) for r in once.collect()) == sorted(str(r) for r in both.collect())
+    assert flac.round_trip(empty(spark)).count() == 0
+    own = spark.newSession()
+    done = queries.op8_flac(own, SMALL)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert own.conf.get("spark.sql.parquet.columnarReaderBatchSize") == str(READ_ROWS)
+    want = {r["doc_id"]: flac.payload(r["text"] or "") for r in own.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    assert {r["doc_id"]: r["payload_sha256"] for r in done.collect()} == {i: hashlib.sha256(p).hexdigest() for i, p in want.items()}

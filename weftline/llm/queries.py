@@ -52,7 +52,8 @@ def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as FLAC and read back, as digests; the last one is of the sample offsets of its blocks."""
-    done = flac.decode(flac.encode(table(spark, sf_dir, "documents")))
+    read_in_small_batches(spark)
+    done = flac.round_trip(table(spark, sf_dir, "documents"))
     return done.select(
         "doc_id", "n_bytes",
         F.octet_length("pcm").cast("long").alias("payload_bytes"),
